@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketweave.llm import groups, tokens
+from docketweave.llm import groups, sentences, tokens
 
-MODULES = [groups, tokens]
+MODULES = [groups, sentences, tokens]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketweave.llm import addresses, groups, sentences, tokens
+from docketweave.llm import addresses, groups, names, sentences, tokens
 
-MODULES = [addresses, groups, sentences, tokens]
+MODULES = [names, groups, addresses, tokens, sentences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -53,7 +53,7 @@ LEGAL_FORMS = [
 ]
 # Words of organisations and their short forms.
 ORG_SHORT = {"univ": "university", "ins": "insurance", "bros": "brothers", "assoc": "associates", "assocs": "associates", "dept": "department", "mfg": "manufacturing", "intl": "international",
-             "hosp": "hospital", "ctr": "center", "med": "medical", "govt": "government", "svcs": "services", "labs": "laboratories", "cnty": "county", "off": "office", "offs": "offices", "grp": "group", "fin": "financial", "props": "properties", "pharm": "pharmaceuticals", "indus": "industries", "ind": "industries", "transp": "transport", "comm": "communications", "tech": "technologies"}
+             "hosp": "hospital", "ctr": "center", "med": "medical", "govt": "government", "svcs": "services", "labs": "laboratories", "cnty": "county", "off": "office", "offs": "offices", "grp": "group", "fin": "financial", "props": "properties", "constr": "construction", "comms": "communications", "pharm": "pharmaceuticals", "indus": "industries", "ind": "industries", "transp": "transport", "comm": "communications", "tech": "technologies"}
 ORG_WORDS = set(ORG_SHORT.values()) | set(
     """bank savings holdings foods energy lines shipping logistics mutual indemnity law legal public defender city state board commission
     authority church school district union trust fund partners works revenue corrections health offices media systems capital realty""".split()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docketweave.llm.addresses import within
 from docketweave.llm.groups import components
-from docketweave.session import Scratch, read
+from docketweave.session import Scratch, partitions_for, read
 
 # Given names with their usual short forms.
 GIVEN_NAMES = """abigail:abby,gail alexander:alex,sandy,al,alec andrew:andy,drew anthony:tony arthur:art,artie barbara:barb,babs benjamin:ben,benny,benji
@@ -211,40 +211,47 @@ def name_column() -> Column:
     return F.coalesce(nz("raw_name"), nz("presentable_name"), nz("normalized_name"))
 
 
-QGRAM, MIN_JACCARD = 3, 0.25
+QGRAM = 3
 
 
-def qgrams(stem: Column) -> Column:
-    """Different padded q-grams of the stem's tokens."""
-    padded = F.concat(F.lit("_"), F.replace(stem, F.lit(" "), F.lit("__")), F.lit("_"))
-    each = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (QGRAM - 1), F.lit(1))), lambda i: F.substring(padded, i, QGRAM))
-    return F.array_distinct(F.filter(each, lambda g: ~g.contains("__") | (F.length(g) < QGRAM)))
+def qgrams(unit: Column) -> Column:
+    """Different padded q-grams of a unit."""
+    padded = F.concat(F.lit("_"), unit, F.lit("_"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (QGRAM - 1), F.lit(1))), lambda i: F.substring(padded, i, QGRAM)))
+
+
+def stem_units(kind: Column, stem: Column) -> Column:
+    """Units of a stem that carry its rarity: the whole without spaces, and every token that is no usual word of organisations."""
+    common = F.array(*[F.lit(w) for w in sorted(ORG_WORDS)])
+    tokens = F.filter(F.split(stem, " "), lambda t: F.length(t) > 2)
+    whole = F.array(F.replace(stem, F.lit(" "), F.lit("")))
+    return F.array_distinct(F.concat(whole, F.when(kind == "O", F.array_except(tokens, common)).otherwise(tokens)))
 
 
 def similar_stems(stems: DataFrame) -> DataFrame:
-    """(entity_type, block, kind, x, y) of different similar stems of a block, x < y, by prefix filtering.
+    """(entity_type, block, kind, x, y) of different stems of a block that share a similar unit, x < y.
 
-    Stems whose q-gram sets have a Jaccard similarity of MIN_JACCARD share a q-gram among the first
-    n - ceil(MIN_JACCARD * n) + 1, the rarest of all, of each.
+    One slip changes at most QGRAM + 1 of a unit's q-grams, so two units within k slips share one of the first
+    k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is joined. Pairs then need a
+    unit within two edits, and tokens that differ in one place or are run together.
     """
-    grams = stems.select("entity_type", "block", "kind", "stem", F.explode(qgrams(F.col("stem"))).alias("gram"))
+    keys = ["entity_type", "block", "kind"]
+    units = stems.select(F.xxhash64(*keys).alias("at"), *keys, "stem", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
+    grams = units.select("unit").distinct().select("unit", F.explode(qgrams(F.col("unit"))).alias("gram"))
     rarity = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    ordered = (
-        grams.join(rarity, "gram")
-        .groupBy("entity_type", "block", "kind", "stem")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("s"))
-        .withColumn("n", F.size("s"))
-        .select("entity_type", "block", "kind", "stem", "n", F.transform("s", lambda v: v["gram"]).alias("grams"))
-    )
-    keep = F.col("n") - F.ceil(F.col("n") * MIN_JACCARD).cast("int") + 1
-    prefix = ordered.select("entity_type", "block", "kind", "stem", "n", "grams", F.explode(F.slice("grams", 1, keep)).alias("gram"))
-    x, y = prefix.alias("x"), prefix.alias("y")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("entity_type", "block", "kind", "gram")]
-    size_ok = (F.col("x.n") >= F.col("y.n") * MIN_JACCARD) & (F.col("y.n") >= F.col("x.n") * MIN_JACCARD)
-    shared = F.size(F.array_intersect("x.grams", "y.grams"))
-    joined = x.join(y, [*same, F.col("x.stem") < F.col("y.stem"), size_ok])
-    near = joined.filter(shared >= (F.col("x.n") + F.col("y.n")) * (MIN_JACCARD / (1 + MIN_JACCARD)))
-    return near.select("x.entity_type", "x.block", "x.kind", F.col("x.stem").alias("x"), F.col("y.stem").alias("y")).distinct()
+    slips = F.when(F.length("unit") >= 12, 2).otherwise(1)
+    prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
+    prefix = prefix.select("unit", F.explode(F.slice("s", 1, slips * (QGRAM + 1) + 1)).alias("g")).select("unit", F.col("g.gram").alias("gram"))
+    posted = units.join(prefix, "unit").select("at", "stem", "unit", "gram").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
+    x, y = posted.alias("x"), posted.alias("y")
+    close = (F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.levenshtein("x.unit", "y.unit", 2) >= 0)
+    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), F.col("x.stem") < F.col("y.stem"), close])
+    met = met.select(F.col("x.at").alias("at"), F.col("x.stem").alias("x"), F.col("y.stem").alias("y")).distinct()
+    p, q = F.split("x", " "), F.split("y", " ")
+    joined = F.levenshtein(F.replace("x", F.lit(" "), F.lit("")), F.replace("y", F.lit(" "), F.lit("")), 2) >= 0
+    alike = joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
+    blocks = units.select("at", *keys).distinct()
+    return met.filter(alike).join(blocks, "at").select(*keys, "x", "y")
 
 
 def _stem_verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

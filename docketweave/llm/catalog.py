@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketweave.llm import addresses, groups, linkage, names, sentences, tokens
+from docketweave.llm import addresses, groups, history, linkage, names, sentences, tokens
 
-MODULES = [names, groups, addresses, linkage, tokens, sentences]
+MODULES = [names, groups, history, addresses, linkage, tokens, sentences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketweave.llm import addresses, groups, history, linkage, names, sentences, survivor, tokens
+from docketweave.llm import addresses, groups, history, linkage, mixture, names, sentences, survivor, tokens
 
-MODULES = [names, groups, history, addresses, survivor, linkage, tokens, sentences]
+MODULES = [names, groups, history, addresses, survivor, linkage, mixture, tokens, sentences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketweave.operators import nested_queries
+from docketweave.plans import normalisation
 
-MODULES = [nested_queries]
+MODULES = [nested_queries, normalisation]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -215,9 +215,9 @@ QGRAM = 3
 
 
 def qgrams(unit: Column) -> Column:
-    """Different padded q-grams of a unit."""
+    """Padded q-grams of a unit with their places."""
     padded = F.concat(F.lit("_"), unit, F.lit("_"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (QGRAM - 1), F.lit(1))), lambda i: F.substring(padded, i, QGRAM)))
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (QGRAM - 1), F.lit(1))), lambda i: F.struct(F.substring(padded, i, QGRAM).alias("gram"), i.alias("place")))
 
 
 def stem_units(kind: Column, stem: Column) -> Column:
@@ -236,22 +236,26 @@ def similar_stems(stems: DataFrame) -> DataFrame:
     unit within two edits, and tokens that differ in one place or are run together.
     """
     keys = ["entity_type", "block", "kind"]
-    units = stems.select(F.xxhash64(*keys).alias("at"), *keys, "stem", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
-    grams = units.select("unit").distinct().select("unit", F.explode(qgrams(F.col("unit"))).alias("gram"))
+    held = stems.select(F.xxhash64(*keys).alias("at"), *keys, "stem", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
+    units = held.select("at", "unit").distinct()
+    grams = units.select("unit").distinct().select("unit", F.explode(qgrams(F.col("unit"))).alias("g")).select("unit", "g.gram", "g.place")
     rarity = grams.groupBy("gram").agg(F.count("*").alias("df"))
     slips = F.when(F.length("unit") >= 12, 2).otherwise(1)
-    prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
-    prefix = prefix.select("unit", F.explode(F.slice("s", 1, slips * (QGRAM + 1) + 1)).alias("g")).select("unit", F.col("g.gram").alias("gram"))
-    posted = units.join(prefix, "unit").select("at", "stem", "unit", "gram").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
+    prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
+    prefix = prefix.select("unit", F.explode(F.slice("s", 1, slips * (QGRAM + 1) + 1)).alias("g")).select("unit", "g.gram", "g.place")
+    posted = units.join(prefix, "unit").select("at", "unit", "gram", "place").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
     x, y = posted.alias("x"), posted.alias("y")
-    close = (F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.levenshtein("x.unit", "y.unit", 2) >= 0)
-    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), F.col("x.stem") < F.col("y.stem"), close])
-    met = met.select(F.col("x.at").alias("at"), F.col("x.stem").alias("x"), F.col("y.stem").alias("y")).distinct()
-    p, q = F.split("x", " "), F.split("y", " ")
-    joined = F.levenshtein(F.replace("x", F.lit(" "), F.lit("")), F.replace("y", F.lit(" "), F.lit("")), 2) >= 0
+    close = (F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & (F.levenshtein("x.unit", "y.unit", 2) >= 0)
+    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), F.col("x.unit") < F.col("y.unit"), close])
+    near = met.select(F.col("x.at").alias("at"), F.col("x.unit").alias("u"), F.col("y.unit").alias("v")).distinct()
+    here = held.select("at", "stem", "unit")
+    left, right = here.select("at", F.col("stem").alias("s"), F.col("unit").alias("u")), here.select("at", F.col("stem").alias("t"), F.col("unit").alias("v"))
+    pairs = left.join(near, ["at", "u"]).join(right, ["at", "v"]).select("at", "s", "t").union(left.join(right.withColumnRenamed("v", "u"), ["at", "u"]).filter("s < t").select("at", "s", "t"))
+    p, q = F.split("s", " "), F.split("t", " ")
+    joined = F.levenshtein(F.replace("s", F.lit(" "), F.lit("")), F.replace("t", F.lit(" "), F.lit("")), 2) >= 0
     alike = joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
-    blocks = units.select("at", *keys).distinct()
-    return met.filter(alike).join(blocks, "at").select(*keys, "x", "y")
+    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike).select("at", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y")).distinct()
+    return pairs.join(held.select("at", *keys).distinct(), "at").select(*keys, "x", "y")
 
 
 def _stem_verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

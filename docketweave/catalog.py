@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketweave.operators import nested_queries
-from docketweave.plans import normalisation
+from docketweave.plans import merging, normalisation
 
-MODULES = [nested_queries, normalisation]
+MODULES = [nested_queries, normalisation, merging]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketweave.operators import nested_queries
-from docketweave.plans import extraction, merging, normalisation
+from docketweave.plans import extraction, merging, normalisation, similarity
 
-MODULES = [nested_queries, normalisation, extraction, merging]
+MODULES = [nested_queries, normalisation, extraction, merging, similarity]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketweave.operators import nested_queries
-from docketweave.plans import extraction, merging, normalisation, similarity
+from docketweave.plans import clustering, evaluation, extraction, merging, normalisation, similarity
 
-MODULES = [nested_queries, normalisation, extraction, merging, similarity]
+MODULES = [nested_queries, normalisation, extraction, merging, similarity, clustering, evaluation]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,4 +21,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_queries.p6_party(spark, sf_dir)
+    return clustering.entity_record(spark, sf_dir)

@@ -49,12 +49,14 @@ def constrained_components(edges: DataFrame, slots: DataFrame, order: str = "ran
     edges (a, b, rank); slots (id, ucid, entry, name). Plain components that break no rule stay as they are; only the
     others are merged greedily, in rank order, each on its own: the outcome equals one sequential pass over all edges.
     """
-    plain = connected_components(edges)
+    scratch = Scratch(edges.sparkSession, "constrained")
+    plain = scratch.table(connected_components(edges))
     held = slots.join(plain, "id").select("component", "ucid", "entry", "name").distinct()
     broken = held.groupBy("component", "ucid").agg(F.count_distinct("entry").alias("entries"), F.count_distinct("name").alias("names")).filter("entries > 1 and names > 1").select("component").distinct()
+    broken = scratch.table(broken)
     fine = plain.join(broken, "component", "left_anti").select("id", "component")
-    inside = edges.join(plain.withColumnRenamed("id", "a"), "a").join(broken, "component", "left_semi")
-    listed = slots.join(plain, "id").join(broken, "component", "left_semi").select("component", "id", "ucid", "entry", "name")
+    inside = scratch.table(edges.join(plain.withColumnRenamed("id", "a"), "a").join(broken, "component", "left_semi"))
+    listed = scratch.table(slots.join(plain, "id").join(broken, "component", "left_semi").select("component", "id", "ucid", "entry", "name"))
 
     def merge(links: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         parent: dict[str, str] = {}

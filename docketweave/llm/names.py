@@ -70,9 +70,15 @@ _TAIL = regex.compile(
     regex.I | regex.S,
 )
 _HONORIFIC = regex.compile(r"^\W*(?:(?:the )?(?:hon(?:orable)?|chief|magistrate|district|senior|presiding|judge|justice|mr|mrs|ms|miss|dr|prof|sir|madam|us|u\.s)\b\.?(?:,\s)?\s*)+", regex.I)
+_LAST_FIRST = regex.compile(r"^([^,]+),\s*([^,]+?)(?:,\s*(\w+))?$")
 _CAMEL = regex.compile(r"(?<=\p{Ll})(?=\p{Lu})")
 _WORD = regex.compile(r"[\p{L}\p{M}\d]+(?:['’][\p{L}\p{M}\d]+)*")
 _FORMS = [(name, regex.compile(r"(?:^|[\s,])(?:" + pattern + r")$")) for name, pattern in LEGAL_FORMS]
+_FORM_ENDS = tuple(word for _, pattern in LEGAL_FORMS for word in pattern.replace(" ?", "").split("|"))
+_FORM_ENDS_GLUED = tuple(w.replace(" ", "") for w in _FORM_ENDS)
+# Any of these must stand in a name for its slower pattern to match.
+_ALIAS_SIGNS = ("k/", "b/", "k a", "b a", "/a", ".a", "a.", "fka", "aka", "dba", "fdba", "known", "trading", "doing")
+_TAIL_SIGNS = ("attn", "assigns", ", a", " a ", " an ", " al", " pro", "deceas", "individ", "capacity", " and ", " on ", "pursuant", "presiding", "referred", "terminat", "trustee", "#", " no", "signed", "courtroom", "ctrm", "behalf", "mag", "motion", "usdj", "usmj", "usj")
 _CANON: dict[str, str] = {}
 for _entry in GIVEN_NAMES.split():
     _name, _, _shorts = _entry.partition(":")
@@ -124,25 +130,34 @@ def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str,
     """(kind, stem, g1, g2, suffix, form): kind P or O; absent parts are ''. None for names without letters."""
     if not raw:
         return None
-    s = regex.sub(r"\s+", " ", raw).strip()
-    s = _QUOTED.sub(" ", _PAREN.sub(" ", _ALIAS.sub("", s)))
-    while True:
+    s = " ".join(raw.split())
+    low = s.lower()
+    if any(sign in low for sign in _ALIAS_SIGNS):
+        s = _ALIAS.sub("", s)
+    if "(" in s or "[" in s:
+        s = _PAREN.sub(" ", s)
+    if '"' in s or "'" in s or "\u201c" in s or "\u201d" in s:
+        s = _QUOTED.sub(" ", s)
+    while s and (s[-1] in "*,;\u2013- " or any(sign in low for sign in _TAIL_SIGNS)):
         cut = _TAIL.sub("", s)
         if cut == s:
             break
         s = cut
-    s = s.strip(" .,;*-") if not regex.search(r"\b\p{L}\.$", s) else s.strip(" ,;*-")
-    if any(c.islower() for c in s):
+    s = s.strip(" ,;*-") if s[-1:] == "." and s[-2:-1].isalpha() and not s[-3:-2].isalpha() else s.strip(" .,;*-")
+    if not s.isupper():
         s = _CAMEL.sub(" ", s)
-    flat = regex.sub(r"(?<=\b\p{L})\.(?=\p{L}\b)", "", s.lower())
-    flat = regex.sub(r"\s+", " ", regex.sub(r"[.]", "", flat)).strip(" ,-")
+    flat = s.lower()
+    if "." in flat:
+        flat = flat.replace(".", "")
+    flat = " ".join(flat.split()).strip(" ,-")
     form = ""
     if entity_type != "judge":
-        for name, pattern in _FORMS:
-            m = pattern.search(flat)
-            if m and m.start() > 0:
-                form, flat = name, flat[: m.start()].rstrip(" ,&-")
-                break
+        if flat.replace(" ", "").endswith(_FORM_ENDS_GLUED):
+            for name, pattern in _FORMS:
+                m = pattern.search(flat)
+                if m and m.start() > 0:
+                    form, flat = name, flat[: m.start()].rstrip(" ,&-")
+                    break
         words = [org_word(ORG_SHORT.get(w, w)) for w in _WORD.findall(flat)]
         if form or entity_type == "firm" or "&" in flat or any(w in ORG_WORDS for w in words):
             words = [w for w in words if w not in CONNECTORS]
@@ -150,7 +165,7 @@ def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str,
             words = [org_word(w) for w in words]
             return ("O", " ".join(words), "", "", "", form) if words else None
     flat = _HONORIFIC.sub("", flat)
-    last_first = regex.match(r"^([^,]+),\s*([^,]+?)(?:,\s*(\w+))?$", flat)
+    last_first = _LAST_FIRST.match(flat) if "," in flat else None
     suffix = ""
     if last_first and last_first.group(2).strip() not in SUFFIXES:
         head = [w for w in last_first.group(1).split() if w not in SUFFIXES]

@@ -20,7 +20,7 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -273,28 +273,25 @@ def flatten_json(df: DataFrame, key: str, text: str, tree: dict = CASE_TREE, fie
     """
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), *NODE_SCHEMA.fields])
 
-    def emit(keys: list, texts: list) -> pd.DataFrame:
+    def emit(keys: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
         rows = walk_batch(texts, tree, fields)
-        return pd.DataFrame(
-            {
-                key: pd.Series([keys[r[0]] for r in rows], dtype="object"),
-                "node_kind": [r[1] for r in rows],
-                "parent_index": np.array([r[2] for r in rows], np.int32),
-                "item_index": np.array([r[3] for r in rows], np.int32),
-                "fields": pd.Series([r[4] for r in rows], dtype="object"),
-            }
-        )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        arrays = [
+            keys.take(pa.array([r[0] for r in rows], pa.int64())),
+            pa.array([r[1] for r in rows], pa.string()),
+            pa.array([r[2] for r in rows], pa.int32()),
+            pa.array([r[3] for r in rows], pa.int32()),
+            pa.array([None if r[4] is None else list(r[4].items()) for r in rows], pa.map_(pa.string(), pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch["_key"].tolist(), batch["_text"].tolist()
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
             lo, held = 0, 0
             for i, t in enumerate(texts):
                 held += len(t or "")
-                if held > batch_bytes:
-                    yield emit(keys[lo : i + 1], texts[lo : i + 1])
+                if held > batch_bytes or i + 1 == len(texts):
+                    yield emit(keys.slice(lo, i + 1 - lo), texts[lo : i + 1])
                     lo, held = i + 1, 0
-            if lo < len(texts):
-                yield emit(keys[lo:], texts[lo:])
 
-    return df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInPandas(run, schema)
+    return df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(run, schema)

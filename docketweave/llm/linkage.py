@@ -64,14 +64,23 @@ class LabelModel:
     def fit(patterns: np.ndarray, counts: np.ndarray, dependent: float = 0.05) -> "LabelModel":
         """dependent: mutual information given the truth, in nats, from which two functions are joined."""
         joined = [(i,) for i in range(patterns.shape[1])]
-        model, q = LabelModel._em(patterns, counts, joined)
-        found = [(LabelModel._information(patterns, counts, q, i, j), i, j) for i, j in combinations(range(patterns.shape[1]), 2)]
         taken: set[int] = set()
+        pairs = list(combinations(range(patterns.shape[1]), 2))
+        # Near-copies come first: they would otherwise pass for the truth themselves.
+        ones = np.ones(len(patterns))
+        for i, j in pairs:
+            own = min(LabelModel._information(patterns, counts, ones, i, i), LabelModel._information(patterns, counts, ones, j, j))
+            if own > 0 and not {i, j} & taken and LabelModel._information(patterns, counts, ones, i, j) >= 0.9 * own:
+                taken |= {i, j}
+                joined = [g for g in joined if g not in ((i,), (j,))] + [(i, j)]
+        model, q = LabelModel._em(patterns, counts, joined)
+        found = [(LabelModel._information(patterns, counts, q, i, j), i, j) for i, j in pairs]
+        before = len(taken)
         for information, i, j in sorted(found, reverse=True):
             if information >= dependent and not {i, j} & taken:
                 taken |= {i, j}
                 joined = [g for g in joined if g not in ((i,), (j,))] + [(i, j)]
-        if taken:
+        if len(taken) > before:
             model, _ = LabelModel._em(patterns, counts, joined)
         return model
 

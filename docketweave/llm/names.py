@@ -258,6 +258,10 @@ def similar_stems(stems: DataFrame) -> DataFrame:
     slips = F.when(F.length("unit") >= 12, 2).otherwise(1)
     prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
     prefix = prefix.select("unit", F.explode(F.slice("s", 1, slips * (QGRAM + 1) + 1)).alias("g")).select("unit", "g.gram", "g.place")
+    # Units of up to QGRAM + 2 letters may share no q-gram after a slip; they meet on what is left without one letter.
+    short = units.select("unit").distinct().filter(F.length("unit") <= QGRAM + 2)
+    cut = F.transform(F.sequence(F.lit(1), F.length("unit")), lambda i: F.concat(F.substring("unit", F.lit(1), i - 1), F.substring("unit", i + 1, F.lit(QGRAM + 2))))
+    prefix = prefix.union(short.select("unit", F.explode(F.array_append(cut, F.col("unit"))).alias("c")).select("unit", F.concat(F.lit("~"), F.col("c")), F.lit(0)).distinct())
     posted = units.join(prefix, "unit").select("at", "unit", "gram", "place").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
     x, y = posted.alias("x"), posted.alias("y")
     close = (F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & (F.levenshtein("x.unit", "y.unit", 2) >= 0)

@@ -243,6 +243,13 @@ def stem_units(kind: Column, stem: Column) -> Column:
     return F.array_distinct(F.concat(whole, F.when(kind == "O", F.array_except(tokens, common)).otherwise(tokens)))
 
 
+def alike(s: str, t: str) -> Column:
+    """A cheap necessary condition of stem_softness > 0."""
+    p, q = F.split(s, " "), F.split(t, " ")
+    joined = F.levenshtein(F.replace(s, F.lit(" "), F.lit("")), F.replace(t, F.lit(" "), F.lit("")), 2) >= 0
+    return joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
+
+
 def similar_stems(stems: DataFrame) -> DataFrame:
     """(entity_type, block, kind, x, y) of different stems of a block that share a similar unit, x < y.
 
@@ -270,10 +277,7 @@ def similar_stems(stems: DataFrame) -> DataFrame:
     here = held.select("at", "stem", "unit")
     left, right = here.select("at", F.col("stem").alias("s"), F.col("unit").alias("u")), here.select("at", F.col("stem").alias("t"), F.col("unit").alias("v"))
     pairs = left.join(near, ["at", "u"]).join(right, ["at", "v"]).select("at", "s", "t").union(left.join(right.withColumnRenamed("v", "u"), ["at", "u"]).filter("s < t").select("at", "s", "t"))
-    p, q = F.split("s", " "), F.split("t", " ")
-    joined = F.levenshtein(F.replace("s", F.lit(" "), F.lit("")), F.replace("t", F.lit(" "), F.lit("")), 2) >= 0
-    alike = joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
-    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike).select("at", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y")).distinct()
+    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike("s", "t")).select("at", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y")).distinct()
     return pairs.join(held.select("at", *keys).distinct(), "at").select(*keys, "x", "y")
 
 

@@ -329,8 +329,12 @@ def same_place(df: DataFrame, key: str, text: str) -> DataFrame:
     building = F.sha2(F.concat_ws("\x1f", *[k for k in PARTS if k != "unit"]), 256)
     nodes = scratch.table(whole.withColumn("node", building))
     distinct = nodes.groupBy("node").agg(*(F.first(k).alias(k) for k in PARTS if k != "unit"), F.first("bands").alias("bands")).withColumn("unit", F.lit(""))
-    banded = distinct.select("node", F.explode("bands").alias("band"))
-    pairs = banded.alias("x").join(banded.alias("y"), "band").filter("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    # Rows of different states are no candidates, so a street name found in every town meets only within its state; rows without one meet all.
+    banded = distinct.select("node", "state", F.explode("bands").alias("band"))
+    x, y = banded.select(F.col("node").alias("a"), "state", "band"), banded.select(F.col("node").alias("b"), "state", "band")
+    within_state = x.filter("state <> ''").join(y, ["state", "band"]).filter("a < b").select("a", "b")
+    stateless = x.filter("state = ''").drop("state").join(y.drop("state"), "band").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = within_state.union(stateless).distinct()
     side = lambda s: distinct.select(F.col("node").alias(s), *(F.col(k).alias(f"{k}_{s}") for k in PARTS))
     candidates = pairs.join(side("a"), "a").join(side("b"), "b")
     links = scratch.table(candidates.mapInPandas(_verify, "a string, b string"))

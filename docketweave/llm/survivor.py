@@ -142,7 +142,7 @@ def survivors(members: DataFrame, trust: DataFrame) -> DataFrame:
         F.coalesce(F.mode(filled("n_form"), True), F.lit("")).alias("k_form"),
     )
     places = parsed.filter("anchor is not null").groupBy("grp", "anchor").agg(*[F.coalesce(F.mode(filled(f"a_{p}"), True), F.lit("")).alias(f"p_{p}") for p in PLACE_PARTS])
-    judged = parsed.join(known.filter("size > 1"), "grp").join(places, ["grp", "anchor"], "left").join(F.broadcast(ranks.limit(10_000)), "docket_source", "left")
+    judged = parsed.join(known.filter("size > 1"), "grp").join(places, ["grp", "anchor"], "left").join(ranks, "docket_source", "left")
     good_name = F.col("name_plain")
     for p in NAME_PARTS:
         good_name &= F.col(f"n_{p}") == F.col(f"k_{p}")

@@ -33,7 +33,7 @@ bruno charles:charlie,chuck,chas christopher:chris,kit,topher clara cynthia:cind
 edward:ed,eddie,ted,ned,teddy elizabeth:liz,beth,betsy,betty,lizzie,eliza,libby eugene:gene felix francis:frank,fran,frankie frederick:fred,freddie,rick,fritz
 gerald:gerry,jerry gregory:greg greta harold:hal,harry hector ingrid ivan jacqueline:jackie james:jim,jimmy,jamie jennifer:jen,jenny john:jack,johnny
 joseph:joe,joey josé:pepe,jose katherine:kate,kathy,katie,kit,kathie,kay kenneth:ken,kenny lawrence:larry,lars leila leonard:len,lenny,leo margaret:maggie,meg,peggy,marge
-mary:molly,polly mei matilda:tilda,mattie,tilly michael:mike,mickey nadia naomi nathaniel:nate,nat,nathan omar oscar owen pamela:pam patricia:pat,patty,tricia,trish
+mary:molly,polly mei matilda:tilda,mattie,tilly michael:mike,mickey,mick nadia naomi nathaniel:nate,nat,nathan omar oscar owen pamela:pam patricia:pat,patty,tricia,trish
 priya raymond:ray rebecca:becky,becca rené:rene richard:dick,rich,richie,rick robert:bob,rob,bobby,bert ronald:ron,ronnie ruth samuel:sam,sammy
 simon:si stephen:steve,stevie susan:sue,susie,suzy theodore:ted,theo,teddy thomas:tom,tommy victoria:vicky,vicki,tori vera vincent:vince,vinny
 william:bill,will,billy,liam,willie yusuf zoë:zoe"""
@@ -52,7 +52,7 @@ LEGAL_FORMS = [
     ("co", "company|co"),
 ]
 # Words of organisations and their short forms.
-ORG_SHORT = {"univ": "university", "ins": "insurance", "bros": "brothers", "assoc": "associates", "assocs": "associates", "dept": "department", "mfg": "manufacturing", "intl": "international",
+ORG_SHORT = {"univ": "university", "ins": "insurance", "bros": "brothers", "assoc": "associates", "assocs": "associates", "dept": "department", "mfg": "manufacturing", "intl": "international", "int'l": "international", "int’l": "international",
              "hosp": "hospital", "ctr": "center", "med": "medical", "govt": "government", "svcs": "services", "labs": "laboratories", "cnty": "county", "off": "office", "offs": "offices", "grp": "group", "fin": "financial", "props": "properties", "constr": "construction", "comms": "communications", "pharm": "pharmaceuticals", "indus": "industries", "ind": "industries", "transp": "transport", "comm": "communications", "tech": "technologies"}
 ORG_WORDS = set(ORG_SHORT.values()) | set(
     """bank savings holdings foods energy lines shipping logistics mutual indemnity law legal public defender city state board commission
@@ -105,13 +105,14 @@ def _one_edit(a: str, b: str) -> bool:
 
 @lru_cache(1 << 17)
 def given_name(token: str) -> str | None:
-    """The full given name that a token stands for, also with one slip in names of four letters or more."""
+    """The full given name that a token stands for, also with one slip in names of three letters or more."""
     if token in _CANON:
         return _CANON[token]
-    if len(token) >= 4:
+    if len(token) >= 3:
         for n in (len(token), len(token) - 1, len(token) + 1):
             for name in _BY_LENGTH.get(n, ()):
-                if len(name) >= 4 and (len(name) >= 5 or name[0] == token[0]) and _one_edit(token, name):
+                short = len(name) < 5 or len(token) < 4
+                if (not short or (name[0] == token[0] and (len(name) > 3 or _CANON[name] == name))) and len(name) >= 3 and _one_edit(token, name):
                     return _CANON[name]
     return None
 
@@ -188,6 +189,8 @@ def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str,
             tail = words[1:]
             if all(given_name(w) or len(w) == 1 for w in tail):
                 words, turned = tail + words[:1], len(tail)
+    if turned < 0 and len(words) == 3 and s[:1].isupper() and _CANON.get(words[1], words[1]) != words[1] and s.rsplit(" ", 1)[-1][:1].islower():
+        words = [words[0], words[1] + words[2]]  # a surname torn after letters that happen to be a short name
     if turned > 0:
         givens, family = words[:turned], words[turned:]
     else:

@@ -2,8 +2,8 @@
 
 A name stem is a vector of hashed bigrams and trigrams, weighted by rarity and of length one. CellIndex keeps
 every stem's full vector in the cell of its nearest centroid, as files in the shared folder, with each cell's radius.
-A query probes its own cell first; if nothing there is verified, it goes on to every cell whose distance
-bound, d(query, centroid) - radius, leaves room for a match, and to no further one. Hits are reranked by their
+A query looks for itself in its own cell first and stops there only if it is verified at distance zero; any other goes on
+to every cell whose distance bound, d(query, centroid) - radius, leaves room for a match, and to no further one. Hits are reranked by their
 exact distance and then verified by the parts of the whole name. Accepted batches are appended to
 the cells without reading the rest again.
 
@@ -132,7 +132,7 @@ class CellIndex:
     def search(self, queries: DataFrame, own_cell: bool, radius: float = RADIUS, floor: Callable[[str], float] | None = None) -> DataFrame:
         """(entity_type, kind, query, stem, distance) of the rows within radius.
 
-        In its own cell a query that is there at distance zero can find no nearer match, so that row alone is its answer.
+        With own_cell only rows at distance zero are returned, which lie in a query's own cell: it can find no nearer match.
         Otherwise all cells are probed that the bounds leave. floor gives a query a larger least cosine than the radius.
         """
         rows = self.parts[0]
@@ -173,8 +173,6 @@ class CellIndex:
                         present = set(stems)
                         there = np.fromiter((w in present for w in wanted), bool, len(wanted))
                         out.append(pd.DataFrame({"entity_type": key[0], "kind": key[1], "query": wanted[there], "stem": wanted[there], "distance": 0.0}))
-                        wanted = wanted[~there]
-                    if not len(wanted):
                         continue
                     rows = np.frombuffer(b"".join(h["vector"]), np.float32).reshape(len(h), DIM)
                     for lo in range(0, len(wanted), 2048):
@@ -246,7 +244,7 @@ def known_entities(history: DataFrame, registry: DataFrame, batch: DataFrame) ->
         return pairs.select("entity_type", F.col("court_a").alias("court"), "kind", F.col("query").alias("stem"), *[F.col(f"{p}_a").alias(p) for p in PARTS], "sjid", score.alias("score"))
 
     stems = wanted.select("entity_type", "kind", "stem").distinct()
-    first = scratch.table(verified(wanted, index.search(stems, own_cell=True, floor=slip_floor)))
+    first = scratch.table(verified(wanted, index.search(stems, own_cell=True)))
     node = ["entity_type", "court", "kind", "stem", *PARTS]
     rest = scratch.table(wanted.join(first.select(*node).distinct(), node, "left_anti"))
     second = verified(rest, index.search(rest.select("entity_type", "kind", "stem").distinct(), own_cell=False, floor=slip_floor))

@@ -38,3 +38,24 @@ def test_search_equals_brute_force(spark):
     d = np.sqrt(np.maximum(2 - 2 * a @ b.T, 0))
     want = {(queries[i], stems[j]) for i, j in zip(*np.nonzero(d < history.RADIUS - 1e-3))}
     assert want <= got and all(d[queries.index(q), stems.index(s)] < history.RADIUS + 1e-3 for q, s in got)
+
+
+def test_inexact_hit_in_own_cell_does_not_stop(spark, monkeypatch):
+    """A vague, unlisted name two slips away in the query's own cell; the registry's entity one slip away in another cell."""
+
+    class TwoCells(history.Cells):
+        def distances(self, v):
+            far = np.ones((len(v), 2), np.float32)
+            entity = self.vectors(["cumpostonel"])[0]
+            far[np.arange(len(v)), (v @ entity > 0.999).astype(int)] = 0.0
+            return far
+
+        def __init__(self, stems, cells):
+            super().__init__(stems, cells)
+            self.centroids, self.radii = self.centroids[[0, 0]], np.zeros(2)
+
+    monkeypatch.setattr(history, "Cells", TwoCells)
+    held = spark.createDataFrame([mention("h1", "judge", "c1", "Cumpostnoeel"), mention("h2", "judge", "c1", "Greta Cumpostonel")], MENTION)
+    registry = spark.createDataFrame([("S2", ["h2"])], "sjid string, mention_ids array<string>")
+    batch = spark.createDataFrame([mention("n1", "judge", "c1", "Greta Cumpostnoel")], MENTION)
+    assert {r.mention_id: r.sjid for r in history.known_entities(held, registry, batch).collect()} == {"n1": "S2"}

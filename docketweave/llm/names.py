@@ -230,6 +230,7 @@ def name_column() -> Column:
 
 
 QGRAM = 3
+SCANS = (("rn", "m"), ("vv", "w"), ("ri", "n"))
 
 
 def qgrams(unit: Column) -> Column:
@@ -246,41 +247,76 @@ def stem_units(kind: Column, stem: Column) -> Column:
     return F.array_distinct(F.concat(whole, F.when(kind == "O", F.array_except(tokens, common)).otherwise(tokens)))
 
 
+def scanned(unit: Column) -> Column:
+    """_scan as a column."""
+    for pair, letter in SCANS:
+        unit = F.replace(unit, F.lit(pair), F.lit(letter))
+    return unit
+
+
 def alike(s: str, t: str) -> Column:
     """A cheap necessary condition of stem_softness > 0."""
     p, q = F.split(s, " "), F.split(t, " ")
-    joined = F.levenshtein(F.replace(s, F.lit(" "), F.lit("")), F.replace(t, F.lit(" "), F.lit("")), 2) >= 0
+    joined = F.levenshtein(F.replace(s, F.lit(" "), F.lit("")), F.replace(t, F.lit(" "), F.lit("")), 4) >= 0
     return joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
 
 
-def similar_stems(stems: DataFrame) -> DataFrame:
+def two_slips(block: Column, length: Column) -> Column:
+    """Whether stem_softness allows two slips in units of that length."""
+    return (length >= 12) | ((block != "*") & (length >= 8))
+
+
+def similar_stems(stems: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """(entity_type, block, kind, x, y) of different stems of a block that share a similar unit, x < y.
 
+    With ``asked``, more stems of the same columns, only the pairs of one of those, as x, with one of ``stems``.
+
     One slip changes at most QGRAM + 1 of a unit's q-grams, so two units within k slips share one of the first
-    k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is joined. Pairs then need a
-    unit within two edits, and tokens that differ in one place or are run together.
+    k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is joined. Units with no q-gram left after
+    their slips, and those alike but for what scans confuse, meet on keys of their own. Pairs then need a unit within
+    the slips, of which a swap counts as two edits, and tokens that differ in one place or are run together.
     """
     keys = ["entity_type", "block", "kind"]
-    held = stems.select(F.xxhash64(*keys).alias("at"), *keys, "stem", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
-    units = held.select("at", "unit").distinct()
+    every = stems.select(*keys, "stem", F.lit(False).alias("asks"))
+    if asked is not None:
+        every = every.union(asked.select(*keys, "stem", F.lit(True)))
+    held = every.select(F.xxhash64(*keys).alias("at"), *keys, "stem", "asks", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
+    units = held.select("at", "unit", "asks", two_slips(F.col("block"), F.length("unit")).alias("two")).distinct()
     grams = units.select("unit").distinct().select("unit", F.explode(qgrams(F.col("unit"))).alias("g")).select("unit", "g.gram", "g.place")
     rarity = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    slips = F.when(F.length("unit") >= 12, 2).otherwise(1)
     prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
-    prefix = prefix.select("unit", F.explode(F.slice("s", 1, slips * (QGRAM + 1) + 1)).alias("g")).select("unit", "g.gram", "g.place")
+    prefix = prefix.select("unit", F.posexplode("s").alias("nth", "g")).select("unit", "nth", "g.gram", "g.place")
     # Units of up to QGRAM + 2 letters may share no q-gram after a slip; they meet on what is left without one letter.
     short = units.select("unit").distinct().filter(F.length("unit") <= QGRAM + 2)
     cut = F.transform(F.sequence(F.lit(1), F.length("unit")), lambda i: F.concat(F.substring("unit", F.lit(1), i - 1), F.substring("unit", i + 1, F.lit(QGRAM + 2))))
-    prefix = prefix.union(short.select("unit", F.explode(F.array_append(cut, F.col("unit"))).alias("c")).select("unit", F.concat(F.lit("~"), F.col("c")), F.lit(0)).distinct())
-    posted = units.join(prefix, "unit").select("at", "unit", "gram", "place").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
+    at = lambda key: [F.lit(0).alias("nth"), key.alias("gram"), F.lit(0).alias("place")]
+    prefix = prefix.union(short.select("unit", F.explode(F.array_append(cut, F.col("unit"))).alias("c")).select("unit", *at(F.concat(F.lit("~"), F.col("c")))).distinct())
+    # Two slips change all 8 q-grams of a unit of 8 letters only by swapping its letters 2, 3 and 6, 7; they meet with those sorted.
+    pair = lambda i: F.array_join(F.array_sort(F.array(F.substring("unit", i, 1), F.substring("unit", i + 1, 1))), "")
+    eight = units.filter("two and length(unit) = 8").select("unit").distinct()
+    prefix = prefix.union(eight.select("unit", *at(F.concat(F.lit("#"), F.substring("unit", 1, 1), pair(2), F.substring("unit", 4, 2), pair(6), F.substring("unit", 8, 1)))))
+    scan = scanned(F.col("unit"))
+    confused = units.select("unit").distinct().select("unit", scan.alias("s"))
+    # Only units of which another is the scan, or that share it, have such a partner.
+    twins = confused.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
+    prefix = prefix.union(confused.join(twins, "s").select("unit", *at(F.concat(F.lit("="), F.col("s")))))
+    posted = units.join(prefix, "unit").filter(F.col("nth") <= F.when(F.col("two"), 2 * (QGRAM + 1)).otherwise(QGRAM + 1)).select("at", "unit", "gram", "place", "two", "asks").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
     x, y = posted.alias("x"), posted.alias("y")
-    close = (F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & (F.levenshtein("x.unit", "y.unit", 2) >= 0)
-    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), F.col("x.unit") < F.col("y.unit"), close])
+    in_slips = (F.levenshtein("x.unit", "y.unit", 2) >= 0) | (F.col("x.two") & F.col("y.two") & (F.levenshtein("x.unit", "y.unit", 4) >= 0))
+    close = ((F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & in_slips) | F.col("x.gram").startswith("=")
+    order = F.col("x.unit") < F.col("y.unit") if asked is None else F.col("x.asks") & ~F.col("y.asks") & (F.col("x.unit") != F.col("y.unit"))
+    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), order, close])
     near = met.select(F.col("x.at").alias("at"), F.col("x.unit").alias("u"), F.col("y.unit").alias("v")).distinct()
-    here = held.select("at", "stem", "unit")
-    left, right = here.select("at", F.col("stem").alias("s"), F.col("unit").alias("u")), here.select("at", F.col("stem").alias("t"), F.col("unit").alias("v"))
-    pairs = left.join(near, ["at", "u"]).join(right, ["at", "v"]).select("at", "s", "t").union(left.join(right.withColumnRenamed("v", "u"), ["at", "u"]).filter("s < t").select("at", "s", "t"))
-    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike("s", "t")).select("at", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y")).distinct()
+    left = held.select("at", F.col("stem").alias("s"), F.col("unit").alias("u"), F.col("asks").alias("asks_s"))
+    right = held.select("at", F.col("stem").alias("t"), F.col("unit").alias("v"), F.col("asks").alias("asks_t"))
+    if asked is not None:
+        left, right = left.filter("asks_s"), right.filter("not asks_t")
+    left, right = left.drop("asks_s"), right.drop("asks_t")
+    same = left.join(right.withColumnRenamed("v", "u"), ["at", "u"])
+    pairs = left.join(near, ["at", "u"]).join(right, ["at", "v"]).select("at", "s", "t").union((same.filter("s < t") if asked is None else same).select("at", "s", "t"))
+    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike("s", "t"))
+    ends = (F.least("s", "t"), F.greatest("s", "t")) if asked is None else (F.col("s"), F.col("t"))
+    pairs = pairs.select("at", ends[0].alias("x"), ends[1].alias("y")).distinct()
     return pairs.join(held.select("at", *keys).distinct(), "at").select(*keys, "x", "y")
 
 
@@ -294,7 +330,9 @@ def _stem_verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _scan(s: str) -> str:
     """Letter pairs that scans confuse with one letter."""
-    return s.replace("rn", "m").replace("vv", "w").replace("ri", "n")
+    for pair, letter in SCANS:
+        s = s.replace(pair, letter)
+    return s
 
 
 def _near(a: str, b: str, slips: int) -> float:

@@ -66,6 +66,16 @@ def test_stem_join_finds_every_slip(spark):
                 assert (min(s, v), max(s, v)) in found, (s, v)
 
 
+def test_stem_join_finds_two_slips(spark):
+    """Judges' and firms' stems of 8 letters and more within two slips, also where few or no q-grams are left."""
+    pairs = [("stutalcr", "suttaler"), ("abcdefgh", "acbdegfh"), ("vorlitorn", "volritonr"), ("cumposton", "cupmostno"), ("verrnotarn", "vermotam"), ("montgomery", "mantgomary")]
+    df = spark.createDataFrame([("judge", "c", "P", s) for p in pairs for s in p], "entity_type string, block string, kind string, stem string")
+    found = {(r.x, r.y) for r in names.similar_stems(df).collect()}
+    assert all(names.stem_softness("c", "P", *p) > 0 and tuple(sorted(p)) in found for p in pairs), found
+    one = df.filter("stem = 'suttaler'")
+    assert [(r.x, r.y) for r in names.similar_stems(df.filter("stem <> 'suttaler'"), one).collect()] == [("suttaler", "stutalcr")]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], FIELDS)
     assert names.name_entities(df).count() == 0

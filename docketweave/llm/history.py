@@ -4,7 +4,8 @@ A name stem is a vector of hashed bigrams and trigrams, weighted by rarity and o
 every stem's full vector in the cell of its nearest centroid, as files in the shared folder, with each cell's radius.
 A query looks for itself in its own cell first and stops there only if it is verified at distance zero; any other goes on
 to every cell whose distance bound, d(query, centroid) - radius, leaves room for a match, and to no further one. Hits are reranked by their
-exact distance and then verified by the parts of the whole name. Accepted batches are appended to
+exact distance. Stems within the slips that verification allows may be further off; names.similar_stems adds them, so the
+radius cuts none of those. All hits are then verified by the parts of the whole name. Accepted batches are appended to
 the cells without reading the rest again.
 
 Centroids and rarity weights are fitted on at most SAMPLE stems; every stem is indexed. Cells are read in
@@ -60,7 +61,10 @@ HELD_VECTORS = 40_000
 
 
 def slip_floor(stem: str) -> float:
-    """Cosine that a stem keeps after the slips allowed for its length, each of which changes up to 7 of its grams."""
+    """Cosine that a stem usually keeps after the slips for its length, each of which changes up to 7 of its grams.
+
+    Two slips may leave less, so stems within the slips that verification allows are also found by an exact join.
+    """
     n = 2 * len(stem) + 1
     return min(0.7, max(0.48, (n - (14 if len(stem) >= 12 else 7)) / n - 0.15))
 
@@ -221,9 +225,8 @@ def known_entities(history: DataFrame, registry: DataFrame, batch: DataFrame) ->
     index = CellIndex(spark, nodes.select("stem").distinct())
     index.append(nodes.select("entity_type", "kind", "stem").distinct())
 
-    def verified(queries: DataFrame, hits: DataFrame) -> DataFrame:
+    def verified(queries: DataFrame, soft: DataFrame) -> DataFrame:
         """Name-level matches of the queries, with their score."""
-        soft = hits.mapInPandas(_soft_hits, "entity_type string, kind string, query string, stem string, soft double")
         q = queries.select("entity_type", "block", "kind", F.col("stem").alias("query"), F.col("court").alias("court_a"), *[F.col(p).alias(f"{p}_a") for p in PARTS])
         h = nodes.select("entity_type", "block", "kind", "stem", F.col("court").alias("court_b"), *[F.col(p).alias(f"{p}_b") for p in PARTS], "sjid", "n")
         pairs = q.join(soft, ["entity_type", "kind", "query"]).join(h, ["entity_type", "block", "kind", "stem"])
@@ -244,10 +247,16 @@ def known_entities(history: DataFrame, registry: DataFrame, batch: DataFrame) ->
         return pairs.select("entity_type", F.col("court_a").alias("court"), "kind", F.col("query").alias("stem"), *[F.col(f"{p}_a").alias(p) for p in PARTS], "sjid", score.alias("score"))
 
     stems = wanted.select("entity_type", "kind", "stem").distinct()
-    first = scratch.table(verified(wanted, index.search(stems, own_cell=True)))
+    softly = lambda hits: hits.mapInPandas(_soft_hits, "entity_type string, kind string, query string, stem string, soft double")
+    first = scratch.table(verified(wanted, softly(index.search(stems, own_cell=True))))
     node = ["entity_type", "court", "kind", "stem", *PARTS]
     rest = scratch.table(wanted.join(first.select(*node).distinct(), node, "left_anti"))
-    second = verified(rest, index.search(rest.select("entity_type", "kind", "stem").distinct(), own_cell=False, floor=slip_floor))
+    ranged = scratch.table(softly(index.search(rest.select("entity_type", "kind", "stem").distinct(), own_cell=False, floor=slip_floor)))
+    # Slips may leave less than the least cosine; the join on q-grams finds every stem within those that verification allows.
+    stem = ["entity_type", "block", "kind", "stem"]
+    spelt = names.similar_stems(nodes.select(*stem).distinct(), rest.select(*stem).distinct())
+    spelt = scratch.table(softly(spelt.select("entity_type", "kind", F.col("x").alias("query"), F.col("y").alias("stem"), F.lit(0.0).alias("distance")).distinct()))
+    second = verified(rest, ranged.union(spelt).distinct())
     matched = scratch.table(first.unionByName(second).groupBy(*node, "sjid").agg(F.max("score").alias("score")))
     # Contacts shared with an entity decide between several.
     rows = new.join(parsed, ["entity_type", "raw"]).select("mention_id", *node, "email", "phone")

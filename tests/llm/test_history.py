@@ -59,3 +59,11 @@ def test_inexact_hit_in_own_cell_does_not_stop(spark, monkeypatch):
     registry = spark.createDataFrame([("S2", ["h2"])], "sjid string, mention_ids array<string>")
     batch = spark.createDataFrame([mention("n1", "judge", "c1", "Greta Cumpostnoel")], MENTION)
     assert {r.mention_id: r.sjid for r in history.known_entities(held, registry, batch).collect()} == {"n1": "S2"}
+
+
+def test_slips_beyond_the_radius(spark):
+    """Two slips that leave less than the least cosine are found in the query's own court."""
+    held = spark.createDataFrame([mention(f"h{i}", "judge", "c1", n) for i, n in enumerate(["Greta Suttaler", "Omar Montgomery", "Ruth Vorlitor", "Ivan Cumposton"])], MENTION)
+    registry = spark.createDataFrame([(f"S{i}", [f"h{i}"]) for i in range(4)], "sjid string, mention_ids array<string>")
+    batch = spark.createDataFrame([mention("n0", "judge", "c1", "Greta Stutalcr"), mention("n1", "judge", "c1", "Omar Mantgomary"), mention("n2", "judge", "c2", "Greta Stutalcr")], MENTION)
+    assert {r.mention_id: r.sjid for r in history.known_entities(held, registry, batch).collect()} == {"n0": "S0", "n1": "S1"}

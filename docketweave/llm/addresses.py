@@ -2,7 +2,8 @@
 
 An address text is read into parts (number, direction, street, street word, unit, box, station, town,
 state, zip). Candidates come from MinHash bands over its token and q-gram shingles, each shingle joined with
-the house or box number, as another number is another place. A candidate pair is verified by
+the house or box number, as another number is another place; an exact join on that number and the street's bigrams adds
+the pairs that the bands miss (slipped_pairs). A candidate pair is verified by
 affine-gap alignment of the two token sequences: a run of left-out tokens costs one opening and little
 more, abbreviations cost nothing, misspellings cost their edit distance, and different numbers,
 units, directions, street words or towns can't be aligned. Verified links join into buildings by grid
@@ -313,6 +314,37 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
+def slipped_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b), a < b, of all nodes that same_building can accept, found without bands.
+
+    Their number or box agrees, and their zip, or their towns where one has no zip. A swap changes three of a street's
+    padded bigrams and any other slip two or less, so streets of three letters or more keep one within their slips;
+    shorter ones and boxes meet on the number alone.
+    """
+    anchor = F.when(F.col("box") != "", F.concat(F.lit("b"), "box")).otherwise(F.col("number"))
+    padded = F.concat(F.lit("^"), "street", F.lit("$"))
+    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.struct(F.substring(padded, i, 2).alias("gram"), i.alias("place")))
+    alone = F.array(F.struct(F.lit("").alias("gram"), F.lit(1).alias("place")))
+    grams = F.when(F.col("box") != "", alone).when(F.length("street") <= 2, F.concat(grams, alone)).otherwise(grams)
+    posted = nodes.select("node", anchor.alias("anchor"), "state", "zip", F.replace("town", F.lit(" "), F.lit("")).alias("town"), "street", F.explode(grams).alias("g"))
+    posted = posted.select("node", "anchor", "state", "zip", "town", "street", "g.gram", "g.place")
+    x, y = posted.alias("x"), posted.alias("y")
+    longer = F.greatest(F.length("x.street"), F.length("y.street"))
+    # Slips as in substitution(); a swap is two edits.
+    in_slips = F.when(longer <= 5, F.levenshtein("x.street", "y.street", 2)).when(longer <= 9, F.levenshtein("x.street", "y.street", 4)).otherwise(F.levenshtein("x.street", "y.street", 6)) >= 0
+    met = (F.abs(F.col("x.place") - F.col("y.place")) <= 3) & in_slips
+    same = lambda *cs: [F.col(f"x.{c}") == F.col(f"y.{c}") for c in cs]
+    towns = (F.col("x.town") != "") & (F.col("y.town") != "") & (F.levenshtein("x.town", "y.town", 4) >= 0)
+    by_zip = x.join(y, [*same("anchor", "gram", "zip"), F.col("x.zip") != "", F.col("x.node") < F.col("y.node"), met])
+    # One side has no zip; both have a town. Rows of no state meet those of all.
+    zipless = [F.col("x.zip") == "", F.col("x.node") != F.col("y.node"), towns, met]
+    by_state = x.join(y, [*same("anchor", "gram", "state"), *zipless])
+    no_state = x.join(y, [*same("anchor", "gram"), *zipless, F.col("x.state") == "", F.col("y.state") != ""])
+    no_state_y = x.join(y, [*same("anchor", "gram"), *zipless, F.col("x.state") != "", F.col("y.state") == ""])
+    ends = lambda df: df.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return ends(by_zip).union(ends(by_state)).union(ends(no_state)).union(ends(no_state_y)).distinct()
+
+
 def same_place(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, place) of every row whose address denotes a place; rows of one place share ``place``.
 
@@ -334,7 +366,7 @@ def same_place(df: DataFrame, key: str, text: str) -> DataFrame:
     x, y = banded.select(F.col("node").alias("a"), "state", "band"), banded.select(F.col("node").alias("b"), "state", "band")
     within_state = x.filter("state <> ''").join(y, ["state", "band"]).filter("a < b").select("a", "b")
     stateless = x.filter("state = ''").drop("state").join(y.drop("state"), "band").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = within_state.union(stateless).distinct()
+    pairs = within_state.union(stateless).union(slipped_pairs(distinct)).distinct()
     side = lambda s: distinct.select(F.col("node").alias(s), *(F.col(k).alias(f"{k}_{s}") for k in PARTS))
     candidates = pairs.join(side("a"), "a").join(side("b"), "b")
     links = scratch.table(candidates.mapInPandas(_verify, "a string, b string"))

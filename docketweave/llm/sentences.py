@@ -91,8 +91,8 @@ class Lexicon:
             else:
                 self.bare[low] += 1
             previous_end, previous_plain = e, len(low) > 3 and "." not in low and low not in LEADING and low not in TRAILING
-        letters = [c for c in text[:4000] if c.isalpha()]
-        self.shouting = bool(letters) and sum(c.isupper() for c in letters) > 0.85 * sum(c.isupper() or c.islower() for c in letters) > 0
+        upper, small = sum(c.isupper() for c in text if c.isalpha()), sum(c.islower() for c in text if c.isalpha())
+        self.shouting = upper > 0.85 * (upper + small) > 0
 
     def is_abbreviation(self, low: str) -> bool | None:
         """None where neither the document nor the fixed lists decide."""

@@ -64,3 +64,11 @@ def test_frame_with_corpus_fallback(spark):
         out.setdefault(r.doc_id, []).append((r.start_pos, r.end_pos))
     assert len(out[0]) == 2 and out[9] == [(0, 18)] and out[12] == [(0, 50_000)] and not {10, 11} & set(out)
     assert split_sentences(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_capitals_are_counted_over_the_whole_text():
+    from docketweave.llm.sentences import Lexicon
+
+    capitals, plain = "MOTION TO DISMISS DENIED. " * 200, "The motion to dismiss is denied. " * 200
+    assert not Lexicon(capitals + plain).shouting and Lexicon(capitals).shouting
+    assert Lexicon("The motion is denied. " * 200 + capitals * 10).shouting and not Lexicon("12 . 3").shouting

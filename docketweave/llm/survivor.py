@@ -3,9 +3,9 @@
 Values are read into parts; the parts a group is known by are the most attested ones, so a complete value has all of
 them, an undamaged one spells them alike, and a correctly written one has nothing else. Among equals the more
 trusted source wins, then the more current row. Currency comes from the row's date. Where dates
-are missing, value-transition precedence is learnt from all dated rows (value a was followed by value b),
-the group's values form a partial order, and an undated row ranks right after the latest dated value that its own
-value is, or is known to follow.
+are missing, value-transition precedence is learnt from all dated rows (value a was followed directly by value b), and
+an undated row ranks with the latest dated value of its group that its own value is, or is known to follow in one
+step. Precedence is not closed over several steps, and a group's undated values are not ordered topologically.
 
 Only grouped aggregates are used, so one group may hold any share of the rows. Defined results: null, blank and NA values
 are none; a field without any value has no row; groups of fewer than two present members are left out; repeated rows

@@ -115,7 +115,9 @@ def _compare(a: str, b: str):
 
 def directory_rows(directory: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """(nid, court, stem, g1, g2, suffix, from_year, to_year): one row per judge, reading of the name and court."""
-    full = F.concat_ws(" ", *[F.trim(c) for c in ("first_name", "middle_name", "last_name", "suffix")])
+    # Written as "Last, First Middle, Suffix", so the columns' knowledge of what is a given name is kept.
+    part = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    full = F.concat_ws(", ", part("last_name"), F.nullif(F.concat_ws(" ", part("first_name"), part("middle_name")), F.lit("")), part("suffix"))
     year = lambda c: F.regexp_extract(c, r"(?:19|20)\d\d", 0).cast("int")
     rows = directory.filter("nid is not null and trim(last_name) <> ''").select(
         "nid", full.alias("raw"), F.lit("judge").alias("entity_type"), year("commission_date_1").alias("from_year"), year("termination_date_1").alias("to_year"),
@@ -148,18 +150,23 @@ def link_to_directory(mentions: DataFrame, directory: DataFrame, crosswalk: Data
     """(matches, named): matches has (entity, nid, confidence); named maps names to entities."""
     spark = mentions.sparkSession
     scratch = Scratch(spark, "linkage")
-    named = scratch.table(names.name_entities(mentions).withColumn("stem", F.split("node", "\x1f")[3]).withColumn("g1", F.split("node", "\x1f")[4]).withColumn("g2", F.split("node", "\x1f")[5]).withColumn("suffix", F.split("node", "\x1f")[6]))
+    named = scratch.table(names.name_entities(mentions))
     profiles = scratch.table(judge_profiles(mentions, named))
     listed = scratch.table(directory_rows(directory, crosswalk))
-    ours = profiles.select("entity", "court", F.explode("stems").alias("stem"))
+    ours = profiles.select("entity", "court", F.substring("g1", 1, 1).alias("letter"), F.explode("stems").alias("stem"))
     stems = ours.select("court", "stem").union(listed.select("court", "stem")).distinct()
     blocks = stems.select(F.lit("judge").alias("entity_type"), F.col("court").alias("block"), F.lit("P").alias("kind"), "stem")
-    near = names.similar_stems(blocks).mapInPandas(names._stem_verdict, "entity_type string, block string, kind string, x string, y string, soft double")
+    frequencies = names.with_frequencies(named.select("entity_type", F.lit("P").alias("kind"), "stem", "g1", "g2", "suffix").union(listed.select(F.lit("judge"), F.lit("P"), "stem", "g1", "g2", "suffix")))
+    near = names.verified_stems(names.similar_stems(blocks.join(frequencies, ["entity_type", "kind", "stem"])))
     near = scratch.table(near.select(F.col("block").alias("court"), "x", "y", "soft"))
     both = near.select("court", F.col("x").alias("stem"), F.col("y").alias("near_stem"), "soft").union(near.select("court", F.col("y").alias("stem"), F.col("x").alias("near_stem"), "soft"))
-    exact = ours.join(listed.select("nid", "stem").distinct(), "stem").select("entity", "nid", F.lit(1.0).alias("soft"))
+    # The same surname meets in one court, or anywhere with the same first initial: never by the bare surname.
+    one = F.lit(1.0).alias("soft")
+    here = ours.join(listed.select("nid", "court", "stem").distinct(), ["court", "stem"]).select("entity", "nid", one)
+    lettered = listed.select("nid", "stem", F.substring("g1", 1, 1).alias("letter")).distinct()
+    anywhere = ours.filter("letter <> ''").join(lettered, ["stem", "letter"]).select("entity", "nid", one)
     fuzzy = ours.join(both, ["court", "stem"]).join(listed.select("nid", "court", F.col("stem").alias("near_stem")).distinct(), ["court", "near_stem"]).select("entity", "nid", "soft")
-    pairs = exact.union(fuzzy).groupBy("entity", "nid").agg(F.max("soft").alias("soft"))
+    pairs = here.union(anywhere).union(fuzzy).groupBy("entity", "nid").agg(F.max("soft").alias("soft"))
     best = listed.groupBy("nid").agg(
         F.collect_set("court").alias("courts"), F.max_by("g1", F.length("g1")).alias("dg1"), F.max_by("g2", F.length("g2")).alias("dg2"), F.max("suffix").alias("dsuffix"), F.min("from_year").alias("from_year"), F.max("to_year").alias("to_year")
     )

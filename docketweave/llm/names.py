@@ -1,11 +1,17 @@
 """Variant spellings of names: parts of a name, and links between the names of one entity.
 
-Mentions reduce to their different names; a name is read into a stem (a person's surname, an organisation's
-core words), given names, a generational suffix and a legal form. Stems are compared by a set-similarity join on
-the q-grams of their tokens, with the rarest q-grams as prefix, so two stems meet only on rare q-grams.
-A pair is verified by soft token similarity weighted by rarity: rare tokens decide, an initial or
-nickname counts as a partial match, and two full parts that differ veto the pair. A name that leaves a part out may
-take it from its neighbours only if they agree on it, in its own court first. Links join into entities.
+Mentions reduce to their different names. What a word is - given name, surname, word of organisations - is learnt from all
+names at once: layouts that leave no doubt ("Last, First M.", "F. M. Last", "First M. Last", a legal form, "of") are counted
+per word, a rare word one slip from a frequent given name is its misspelling, and these counts are joined back
+to the names that have the word (learn, resolve). A dictionary of usual short forms and one of business abbreviations are
+parameters. A name is then a stem (a person's surname, an organisation's core words), given names, a suffix and a legal form.
+
+Stems are compared by a set-similarity join on the q-grams of their units with the rarest q-grams as prefix; two stems
+meet only where they have a similar unit and the same words beside it, so no list of a common word is paired with itself.
+A pair is verified by soft token similarity weighted by rarity: each part weighs its inverse document frequency, a pair of
+words that are both established is no misspelling, an initial or short form counts as a partial match, and
+two full parts that differ veto the pair. A name that leaves a part out may take it from its neighbours only if they
+agree on it, in its own court first. Links join into entities.
 
 Judges and firms belong to one court; parties may appear in several. Defined results: rows without any
 name, and names with no letters, link to nothing; equal names of one court (for parties: of any) are one entity unless
@@ -14,8 +20,8 @@ their legal forms or suffixes differ; repeated rows count once; extra columns ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import unicodedata
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -25,18 +31,19 @@ from pyspark.sql import functions as F
 
 from docketweave.llm.addresses import within
 from docketweave.llm.groups import components
-from docketweave.session import Scratch, partitions_for, read
-
-# Given names with their usual short forms.
-GIVEN_NAMES = """abigail:abby,gail alexander:alex,sandy,al,alec andrew:andy,drew anthony:tony arthur:art,artie barbara:barb,babs benjamin:ben,benny,benji
-bruno charles:charlie,chuck,chas christopher:chris,kit,topher clara cynthia:cindy daniel:dan,danny deborah:deb,debbie,debby dorothy:dot,dottie,dolly
-edward:ed,eddie,ted,ned,teddy elizabeth:liz,beth,betsy,betty,lizzie,eliza,libby eugene:gene felix francis:frank,fran,frankie frederick:fred,freddie,rick,fritz
-gerald:gerry,jerry gregory:greg greta harold:hal,harry hector ingrid ivan jacqueline:jackie james:jim,jimmy,jamie jennifer:jen,jenny john:jack,johnny
-joseph:joe,joey josé:pepe,jose katherine:kate,kathy,katie,kit,kathie,kay kenneth:ken,kenny lawrence:larry,lars leila leonard:len,lenny,leo margaret:maggie,meg,peggy,marge
-mary:molly,polly mei matilda:tilda,mattie,tilly michael:mike,mickey,mick nadia naomi nathaniel:nate,nat,nathan omar oscar owen pamela:pam patricia:pat,patty,tricia,trish
-priya raymond:ray rebecca:becky,becca rené:rene richard:dick,rich,richie,rick robert:bob,rob,bobby,bert ronald:ron,ronnie ruth samuel:sam,sammy
-simon:si stephen:steve,stevie susan:sue,susie,suzy theodore:ted,theo,teddy thomas:tom,tommy victoria:vicky,vicki,tori vera vincent:vince,vinny
-william:bill,will,billy,liam,willie yusuf zoë:zoe"""
+from docketweave.operators.skew import group_pairs, split_sides
+from docketweave.session import Scratch, read
+
+# Usual English short forms of given names, as any public list of nicknames has them; the default of a parameter.
+NICKNAMES = """abraham:abe albert:al,bert alexander:alex,sandy,al alfred:alf,fred amanda:mandy andrew:andy,drew anthony:tony arthur:art,artie
+barbara:barb,babs benjamin:ben,benny catherine:cathy,cate charles:charlie,chuck,chas christine:chris,tina christopher:chris,kit,topher cynthia:cindy daniel:dan,danny
+david:dave deborah:deb,debbie,debby donald:don,donnie dorothy:dot,dottie,dolly douglas:doug edward:ed,eddie,ted,ned,teddy eleanor:ellie,nell elizabeth:liz,beth,betsy,betty,lizzie,eliza,libby
+eugene:gene florence:flo francis:frank,fran frederick:fred,freddie,rick,fritz gabriel:gabe gerald:gerry,jerry gregory:greg harold:hal,harry henry:hank,harry isabella:bella
+jose:pepe jacob:jake jacqueline:jackie james:jim,jimmy,jamie jeffrey:jeff jennifer:jen,jenny jessica:jess john:jack,johnny jonathan:jon joseph:joe,joey joshua:josh judith:judy
+katherine:kate,kathy,katie,kit,kay kenneth:ken,kenny lawrence:larry leonard:len,lenny,leo louis:lou margaret:maggie,meg,peggy,marge martin:marty mary:molly,polly matilda:tilda,mattie,tilly matthew:matt
+michael:mike,mickey,mick nancy:nan nathaniel:nate,nat,nathan nicholas:nick pamela:pam patricia:pat,patty,tricia,trish peter:pete philip:phil raymond:ray rebecca:becky,becca
+richard:dick,rich,richie,rick robert:bob,rob,bobby,bert ronald:ron,ronnie samuel:sam,sammy sarah:sally stephen:steve,stevie susan:sue,susie,suzy theodore:ted,theo,teddy
+theresa:terry,tess thomas:tom,tommy timothy:tim victoria:vicky,vicki,tori vincent:vince,vinny virginia:ginny walter:walt william:bill,will,billy,liam,willie zachary:zach"""
 # Families of legal forms; longer spellings first.
 LEGAL_FORMS = [
     ("llc", "limited liability company|l ?l ?c"),
@@ -51,16 +58,31 @@ LEGAL_FORMS = [
     ("ltd", "limited|ltd"),
     ("co", "company|co"),
 ]
-# Words of organisations and their short forms.
-ORG_SHORT = {"univ": "university", "ins": "insurance", "bros": "brothers", "assoc": "associates", "assocs": "associates", "dept": "department", "mfg": "manufacturing", "intl": "international", "int'l": "international", "int’l": "international",
-             "hosp": "hospital", "ctr": "center", "med": "medical", "govt": "government", "svcs": "services", "labs": "laboratories", "cnty": "county", "off": "office", "offs": "offices", "grp": "group", "fin": "financial", "props": "properties", "constr": "construction", "comms": "communications", "pharm": "pharmaceuticals", "indus": "industries", "ind": "industries", "transp": "transport", "comm": "communications", "tech": "technologies"}
-ORG_WORDS = set(ORG_SHORT.values()) | set(
-    """bank savings holdings foods energy lines shipping logistics mutual indemnity law legal public defender city state board commission
-    authority church school district union trust fund partners works revenue corrections health offices media systems capital realty""".split()
-)
+# Usual abbreviations of business words, as postal addressing standards list them; the default of a parameter.
+BUSINESS_SHORT = """acad:academy admin:administration agcy:agency assn:association assoc:associates assocs:associates auth:authority bd:board bldrs:builders bros:brothers chem:chemical
+cnty:county comm:communications comms:communications commn:commission constr:construction cons:consultants coop:cooperative ctr:center dept:department dist:distributors div:division edn:education elec:electric eng:engineering engrs:engineers
+ent:enterprises equip:equipment exch:exchange fdn:foundation fed:federal fin:financial fl:floor gen:general govt:government grp:group gtr:greater hosp:hospital hwy:highway
+ind:industries indus:industries inst:institute ins:insurance intl:international int'l:international int’l:international inv:investment labs:laboratories lib:library mach:machinery maint:maintenance med:medical mfg:manufacturing mgmt:management mkt:market mktg:marketing
+mtg:mortgage mut:mutual natl:national nat'l:national off:office offs:offices pharm:pharmaceuticals prod:products prods:products props:properties publ:publishing rlty:realty rest:restaurant rr:railroad sav:savings sch:school sec:securities svc:service svcs:services
+sys:systems tech:technologies tel:telephone transp:transport univ:university util:utilities whse:warehouse"""
 SUFFIXES = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "ii", "iii": "iii", "iv": "iv", "2nd": "ii", "3rd": "iii"}
 CONNECTORS = {"and", "the", "of", "for", "a", "an", "et"}
 
+
+def short_forms(table: str) -> dict[str, str]:
+    """Word to its full form, from "full:short,short" entries (names) or "short:full" (one each); two full forms are joined by a slash."""
+    out: dict[str, str] = {}
+    for entry in table.split():
+        name, _, shorts = entry.partition(":")
+        out[name] = name
+        for short in filter(None, shorts.split(",")):
+            out[short] = f"{out[short]}/{name}" if short in out and out[short] != short else name
+    return out
+
+
+CANON = short_forms(NICKNAMES)
+EXPAND = dict(entry.split(":") for entry in BUSINESS_SHORT.split())
+
 _ALIAS = regex.compile(r"\W*\b(?:f/?\s?k/?\s?a|a/?\s?k/?\s?a|d/?\s?b/?\s?a|t/a|[fatd]\.\s?[kb]?\.?\s?a\.|formerly known as|also known as|known as|doing business as|trading as)(?![\p{L}]).*$", regex.I | regex.S)
 _PAREN = regex.compile(r"\([^)]*\)?|\[[^\]]*\]?")
 _QUOTED = regex.compile(r"[\"“”][^\"“”]*[\"“”]|(?<=\s)'\p{L}+'(?=\s)")
@@ -79,56 +101,25 @@ _FORM_ENDS_GLUED = tuple(w.replace(" ", "") for w in _FORM_ENDS)
 # Any of these must stand in a name for its slower pattern to match.
 _ALIAS_SIGNS = ("k/", "b/", "k a", "b a", "/a", ".a", "a.", "fka", "aka", "dba", "fdba", "known", "trading", "doing")
 _TAIL_SIGNS = ("attn", "assigns", ", a", " a ", " an ", " al", " pro", "deceas", "individ", "capacity", " and ", " on ", "pursuant", "presiding", "referred", "terminat", "trustee", "#", " no", "signed", "courtroom", "ctrm", "behalf", "mag", "motion", "usdj", "usmj", "usj")
-_CANON: dict[str, str] = {}
-for _entry in GIVEN_NAMES.split():
-    _name, _, _shorts = _entry.partition(":")
-    _CANON[_name] = _name
-    for _short in filter(None, _shorts.split(",")):
-        # A short form of two names stands for either: "edward/theodore".
-        _CANON[_short] = f"{_CANON[_short]}/{_name}" if _short in _CANON else _name
-_BY_LENGTH: dict[int, list[str]] = {}
-for _name in _CANON:
-    _BY_LENGTH.setdefault(len(_name), []).append(_name)
-
-
-def _one_edit(a: str, b: str) -> bool:
-    """One insertion, deletion, substitution or swap of neighbours."""
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < len(a) and i < len(b) and a[i] == b[i]:
-        i += 1
-    if len(a) == len(b):
-        return a[i + 1 :] == b[i + 1 :] or (i + 1 < len(a) and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :])
-    return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
-
-
-@lru_cache(1 << 17)
-def given_name(token: str) -> str | None:
-    """The full given name that a token stands for, also with one slip in names of three letters or more."""
-    if token in _CANON:
-        return _CANON[token]
-    if len(token) >= 3:
-        for n in (len(token), len(token) - 1, len(token) + 1):
-            for name in _BY_LENGTH.get(n, ()):
-                short = len(name) < 5 or len(token) < 4
-                if (not short or (name[0] == token[0] and (len(name) > 3 or _CANON[name] == name))) and len(name) >= 3 and _one_edit(token, name):
-                    return _CANON[name]
-    return None
-
-
-@lru_cache(1 << 17)
-def org_word(token: str) -> str:
-    """A usual word of organisations with one slip, put right."""
-    if len(token) >= 6 and token not in ORG_WORDS:
-        for word in ORG_WORDS:
-            if len(word) >= 6 and _one_edit(token, word) and {token, word} != {"office", "offices"}:
-                return word
-    return token
-
-
-def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str, str, str, str] | None:
-    """(kind, stem, g1, g2, suffix, form): kind P or O; absent parts are ''. None for names without letters."""
+_DIGITS = str.maketrans("015", "ols")
+_MARKED = regex.compile(r"(?<=[a-z])\p{Mn}+")
+
+
+def fold(low: str) -> str:
+    """Latin letters without their accents, which are often left out."""
+    return low if low.isascii() else unicodedata.normalize("NFC", _MARKED.sub("", unicodedata.normalize("NFD", low)))
+
+
+LAYOUT = "entity_type string, raw string, kind string, words array<string>, turned int, torn int, suffix string, form string"
+
+
+def read_layout(raw: str | None, entity_type: str | None, expand: Mapping[str, str] = EXPAND) -> tuple[str, list[str], int, int, str, str] | None:
+    """(kind, words, turned, torn, suffix, form) of one name by its own signs alone; None for names without letters.
+
+    kind is O, P, or ? where only the corpus can tell. turned counts the given names of "Last, First" (words are then in
+    the usual order), else -1. torn: 1 if the last word starts with a small letter though the first does not, -1 if capitals
+    and small letters are used as usual, 0 if they tell nothing.
+    """
     if not raw:
         return None
     s = " ".join(raw.split())
@@ -147,24 +138,23 @@ def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str,
     s = s.strip(" ,;*-") if s[-1:] == "." and s[-2:-1].isalpha() and not s[-3:-2].isalpha() else s.strip(" .,;*-")
     if not s.isupper():
         s = _CAMEL.sub(" ", s)
-    flat = s.lower()
+    flat = fold(s.lower())
     if "." in flat:
         flat = flat.replace(".", "")
     flat = " ".join(flat.split()).strip(" ,-")
     form = ""
-    if entity_type != "judge":
+    sure = entity_type == "judge"
+    if not sure:
         if flat.replace(" ", "").endswith(_FORM_ENDS_GLUED):
             for name, pattern in _FORMS:
                 m = pattern.search(flat)
                 if m and m.start() > 0:
                     form, flat = name, flat[: m.start()].rstrip(" ,&-")
                     break
-        words = [org_word(ORG_SHORT.get(w, w)) for w in _WORD.findall(flat)]
-        if form or entity_type == "firm" or "&" in flat or any(w in ORG_WORDS for w in words):
-            words = [w for w in words if w not in CONNECTORS]
-            words = [w.translate(str.maketrans("015", "ols")) if not w.isdigit() else w for w in words]
-            words = [org_word(w) for w in words]
-            return ("O", " ".join(words), "", "", "", form) if words else None
+        words = [expand.get(w, w) for w in _WORD.findall(flat)]
+        if form or entity_type == "firm" or "&" in flat or any(w in ("of", "the", "for", "and") for w in words):
+            words = [w if w.isdigit() else w.translate(_DIGITS) for w in words if w not in CONNECTORS]
+            return ("O", words, -1, 0, "", form) if words else None
     flat = _HONORIFIC.sub("", flat)
     last_first = _LAST_FIRST.match(flat) if "," in flat else None
     suffix = ""
@@ -181,46 +171,173 @@ def parse_name(raw: str | None, entity_type: str | None) -> tuple[str, str, str,
         if t in SUFFIXES and i:
             suffix = SUFFIXES[t]
         elif t and any(c.isalpha() for c in t):
-            words.append(t.translate(str.maketrans("015", "ols")) if len(t) > 1 else t)
+            words.append(t.translate(_DIGITS) if len(t) > 1 else t)
+        elif i < turned:
+            turned -= 1
     if not words:
         return None
-    if turned < 0 and len(words) > 1 and len(words[0]) > 1 and not given_name(words[0]):
-        if given_name(words[1]) or (len(words[1]) == 1 and len(words) > 2):
+    torn = 0 if s.isupper() or s.islower() else 1 if s[:1].isupper() and s.rsplit(" ", 1)[-1][:1].islower() else -1
+    return ("P" if sure or suffix else "?", words, turned, torn, suffix, form)
+
+
+def resolve_name(layout: tuple, canon: Mapping[str, str], org: frozenset[str] | set[str] = frozenset(), family_names: frozenset[str] | set[str] = frozenset()) -> tuple[str, str, str, str, str, str] | None:
+    """(kind, stem, g1, g2, suffix, form) of a layout; absent parts are ''.
+
+    canon: the full given name of each word of it that is known as one; org: its words known from organisations;
+    family_names: its words known as surnames. An unknown middle word is a given name if the last word is a surname, or
+    the capitals are sound and it makes no surname together with the last word; else it is a piece of a torn surname.
+    All given names after the first are kept in g2, apart by blanks.
+    """
+    kind, words, turned, torn, suffix, form = layout
+    words = list(words)
+    known = lambda w: len(w) == 1 or w in canon
+    if kind == "?" and turned < 0 and not any(w in canon for w in words):
+        named = [w for w in words if w in org]
+        # An initial leads a person's name, unless two words known from organisations follow.
+        if named and (len(words[0]) > 1 or (len(words) > 2 and len(words[1]) > 1 and words[-1] in org and len(named) > 1)):
+            kind = "O"
+    if kind == "?" and turned >= 0 and not any(known(w) for w in words[:turned]) and any(w in org for w in words):
+        kind, words, turned = "O", words[turned:] + words[:turned], -1
+    if kind == "O":
+        words = [EXPAND.get(w, w) for w in words if w not in CONNECTORS]
+        return ("O", " ".join(words), "", "", "", form) if words else None
+    if turned < 0 and len(words) > 1 and len(words[0]) > 1 and words[0] not in canon:
+        if words[1] in canon or (len(words[1]) == 1 and len(words) > 2):
             tail = words[1:]
-            if all(given_name(w) or len(w) == 1 for w in tail):
+            if all(known(w) for w in tail):
                 words, turned = tail + words[:1], len(tail)
-    if turned < 0 and len(words) == 3 and s[:1].isupper() and _CANON.get(words[1], words[1]) != words[1] and s.rsplit(" ", 1)[-1][:1].islower():
+    if turned < 0 and len(words) == 3 and torn > 0 and canon.get(words[1], words[1]) != words[1]:
         words = [words[0], words[1] + words[2]]  # a surname torn after letters that happen to be a short name
     if turned > 0:
         givens, family = words[:turned], words[turned:]
     else:
         k = 0
-        while k < len(words) - 1 and k < 2 and (len(words[k]) == 1 or given_name(words[k]) or k == 0):
+        settled = torn <= 0 and (words[-1] in family_names or (torn < 0 and "".join(words[-2:]) not in family_names))
+        while k < len(words) - 1 and (k == 0 or known(words[k]) or (settled and words[k] not in family_names)):
             k += 1
-        if k == 1 and len(words) == 2 and not (len(words[0]) == 1 or given_name(words[0])) and len(words[0]) <= 4:
+        if k == 1 and len(words) == 2 and not known(words[0]) and (torn > 0 or "".join(words) in family_names):
             k = 0  # a surname typed in two pieces
         givens, family = words[:k], words[k:]
-    g = [w if len(w) == 1 else given_name(w) or w for w in givens][:2]
-    stem = "".join(family).replace("-", " ").replace("'", "").replace("’", "") if any("-" in w for w in family) else "".join(family).replace("'", "").replace("’", "")
-    return ("P", stem, g[0] if g else "", g[1] if len(g) > 1 else "", suffix, "")
+    if not family:
+        givens, family = givens[:-1], givens[-1:]
+    g = [w if len(w) == 1 else canon.get(w, w) for w in givens]
+    stem = "".join(family).replace("'", "").replace("’", "")
+    stem = " ".join(x for x in stem.split("-") if x)
+    return ("P", stem, g[0] if g else "", " ".join(g[1:]), suffix, "") if stem else None
+
+
+def parse_name(raw: str | None, entity_type: str | None, canon: Mapping[str, str] = CANON, org: frozenset[str] = frozenset()) -> tuple[str, str, str, str, str, str] | None:
+    """One name with a given vocabulary; for many names parse_names learns it."""
+    layout = read_layout(raw, entity_type)
+    return resolve_name(layout, canon, org) if layout else None
 
 
 PARSED = "entity_type string, raw string, kind string, stem string, g1 string, g2 string, suffix string, form string"
 
 
-def parse_names(df: DataFrame) -> DataFrame:
-    """Parts of every different (entity_type, raw)."""
+def layouts(df: DataFrame) -> DataFrame:
+    """LAYOUT of every different (entity_type, raw)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for kind, raw in zip(batch["entity_type"].tolist(), batch["raw"].tolist()):
-                p = parse_name(raw, kind)
+                p = read_layout(raw, kind)
+                if p:
+                    rows.append((kind, raw, *p))
+            yield pd.DataFrame(rows, columns=["entity_type", "raw", "kind", "words", "turned", "torn", "suffix", "form"])
+
+    return df.select("entity_type", "raw").distinct().mapInPandas(run, LAYOUT)
+
+
+VOCABULARY = "word string, g bigint, s bigint, o bigint, l bigint, n bigint"
+
+
+def learn(laid: DataFrame) -> DataFrame:
+    """VOCABULARY: in how many names each word is surely a given name (g), a surname (s), of an organisation (o),
+    last of an open name (l), and in how many it is at all (n). One aggregate over all words of all names."""
+    n, turned = F.size("words"), F.col("turned")
+    single = lambda i: F.length(F.try_element_at("words", F.lit(i))) == 1
+    person = F.col("kind") != "O"
+    middle = person & (turned < 0) & (n == 3) & single(2) & ~single(1) & ~single(3)  # First M. Last
+    behind = person & (turned < 0) & (n == 3) & single(3) & ~single(1) & ~single(2)  # Last First M.
+    lead = person & (turned < 0) & (n >= 2) & single(1) & ~single(-1)  # F. Last, F. M. Last
+    rows = laid.select(
+        (person & (turned > 0)).alias("comma"), "turned", middle.alias("middle"), behind.alias("behind"), lead.alias("lead"), n.alias("size"), (F.col("kind") == "O").alias("org"),
+        (F.col("kind") == "?").alias("open"), F.posexplode("words").alias("at", "word"),
+    ).filter(F.length("word") > 1)
+    first, last = F.col("at") == 0, F.col("at") == F.col("size") - 1
+    given = (F.col("comma") & (F.col("at") < F.col("turned"))) | (F.col("middle") & first) | (F.col("behind") & (F.col("at") == 1))
+    family = (F.col("comma") & (F.col("at") >= F.col("turned"))) | (F.col("middle") & last) | (F.col("behind") & first) | (F.col("lead") & last)
+    count = lambda c: F.sum(c.cast("bigint"))
+    return rows.groupBy("word").agg(count(given).alias("g"), count(family).alias("s"), count(F.col("org")).alias("o"), count(F.col("open") & last & ~F.col("comma") & (F.col("size") > 1)).alias("l"), F.count("*").alias("n"))
+
+
+def word_roles(vocabulary: DataFrame, nicknames: Mapping[str, str] = CANON) -> DataFrame:
+    """(word, full, org, sur): the given name a word stands for, or null; whether it is known from organisations, as a surname.
+
+    A word is a given name if it is one surely more often than a surname; the dictionary counts as one such use. A word
+    with fewer sure uses as a surname than uses at all, and five times rarer than a given name one slip away, is that name
+    misspelt; likewise for words of organisations of six letters or more. Slips are found by deletion neighbours: two words one edit or swap apart share one.
+    """
+    counts = ("g", "s", "o", "l", "n")
+    listed = vocabulary.sparkSession.createDataFrame(list(nicknames.items()), "word string, formal string")  # the parameter, not data
+    v = vocabulary.select("word", *counts, F.lit(None).cast("string").alias("formal")).union(listed.select("word", *[F.lit(0).cast("bigint") for _ in counts], "formal"))
+    v = v.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts], F.max("formal").alias("formal"))
+    v = v.withColumn("gg", F.col("g") + F.col("formal").isNotNull().cast("bigint"))
+    v = v.withColumn("is_org", ((F.col("o") > 0) & (F.col("o") > F.col("gg") + F.col("s"))) | ((F.col("l") >= 3) & (F.col("s") == 0) & (F.col("gg") == 0)))
+    given = v.filter("gg > s").select("word", F.coalesce("formal", "word").alias("full"), F.greatest("gg", "n").alias("uses"), "gg", "formal")
+    length = F.length("word")
+    cut = F.transform(F.sequence(F.lit(1), length), lambda i: F.concat(F.substring("word", F.lit(1), i - 1), F.substring("word", i + 1, length)))
+    keys = F.explode(F.array_distinct(F.array_append(cut, F.col("word")))).alias("key")
+    right = given.filter(length >= 3).select(F.col("word").alias("name"), "full", F.col("gg").alias("right_g"), (F.col("formal").isNull() | (F.col("formal") == F.col("word"))).alias("whole"), F.lit(False).alias("firm"), keys)
+    right = right.union(v.filter(F.col("is_org") & (length >= 6)).select(F.col("word").alias("name"), "word", F.col("n").alias("right_g"), F.lit(True), F.lit(True), keys))
+    wrong = v.filter((length >= 3) & F.col("formal").isNull() & (F.col("s") <= F.col("g")) & (F.col("n") > 0)).select("word", "n", keys)
+    a, b, la, lb = F.col("word"), F.col("name"), F.length("word"), F.length("name")
+    d = F.levenshtein("word", "name", 2)
+    swapped = F.array_join(F.array_sort(F.split(a, "")), "") == F.array_join(F.array_sort(F.split(b, "")), "")
+    slip = (d == 1) | ((d == 2) & (la == lb) & swapped)
+    short = (lb < 5) | (la < 4)
+    usual = ~short | ((F.substring(a, 1, 1) == F.substring(b, 1, 1)) & ((lb > 3) | F.col("whole")))
+    misspelt = wrong.join(right, "key").filter((a != b) & slip & usual & (F.col("n") * 5 <= F.col("right_g")))
+    misspelt = misspelt.groupBy("word").agg(F.max_by("full", F.when(~F.col("firm"), F.struct("right_g", "full"))).alias("meant"), F.max("firm").alias("slip_org"))
+    roles = v.join(misspelt, "word", "left").select("word", F.coalesce("meant", F.when(F.col("gg") > F.col("s"), F.coalesce("formal", "word"))).alias("full"), (F.col("is_org") | F.coalesce("slip_org", F.lit(False))).alias("org"), (F.col("s") > F.col("gg")).alias("sur"))
+    return roles.filter("full is not null or org or sur")
+
+
+def resolve(laid: DataFrame, roles: DataFrame) -> DataFrame:
+    """PARSED of every layout, each word's role joined in."""
+    words = laid.filter("kind <> 'O'").select("entity_type", "raw", F.explode(F.array_distinct(F.when(F.size("words") > 1, F.array_append("words", F.concat(F.element_at("words", -2), F.element_at("words", -1)))).otherwise(F.col("words")))).alias("word"))
+    known = words.join(roles, "word").groupBy("entity_type", "raw").agg(F.collect_list(F.struct("word", "full", "org", "sur")).alias("roles"))
+    told = laid.join(known, ["entity_type", "raw"], "left").select(*laid.columns, F.col("roles.word").alias("rw"), F.col("roles.full").alias("rf"), F.col("roles.org").alias("ro"), F.col("roles.sur").alias("rs"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            columns = [b[c].tolist() for c in ("entity_type", "raw", "kind", "words", "turned", "torn", "suffix", "form", "rw", "rf", "ro", "rs")]
+            for kind, raw, k, words, turned, torn, suffix, form, rw, rf, ro, rs in zip(*columns):
+                canon, org, sur = {}, set(), set()
+                if rw is not None:
+                    for w, f, o, u in zip(rw, rf, ro, rs):
+                        if f is not None:
+                            canon[w] = f
+                        if o:
+                            org.add(w)
+                        if u:
+                            sur.add(w)
+                p = resolve_name((k, words, turned, torn, suffix, form), canon, org, sur)
                 if p and p[1]:
                     rows.append((kind, raw, *p))
             yield pd.DataFrame(rows, columns=["entity_type", "raw", "kind", "stem", "g1", "g2", "suffix", "form"])
 
-    return df.select("entity_type", "raw").distinct().mapInPandas(run, PARSED)
+    return told.mapInPandas(run, PARSED)
+
+
+def parse_names(df: DataFrame, nicknames: Mapping[str, str] = CANON, scratch: Scratch | None = None) -> DataFrame:
+    """Parts of every different (entity_type, raw), read with the vocabulary learnt from all of them."""
+    scratch = scratch or Scratch(df.sparkSession, "parsed")
+    laid = scratch.table(layouts(df))
+    return resolve(laid, word_roles(learn(laid), nicknames))
 
 
 def name_column() -> Column:
@@ -239,14 +356,6 @@ def qgrams(unit: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (QGRAM - 1), F.lit(1))), lambda i: F.struct(F.substring(padded, i, QGRAM).alias("gram"), i.alias("place")))
 
 
-def stem_units(kind: Column, stem: Column) -> Column:
-    """Units of a stem that carry its rarity: the whole without spaces, and every token that is no usual word of organisations."""
-    common = F.array(*[F.lit(w) for w in sorted(ORG_WORDS)])
-    tokens = F.filter(F.split(stem, " "), lambda t: F.length(t) > 2)
-    whole = F.array(F.replace(stem, F.lit(" "), F.lit("")))
-    return F.array_distinct(F.concat(whole, F.when(kind == "O", F.array_except(tokens, common)).otherwise(tokens)))
-
-
 def scanned(unit: Column) -> Column:
     """_scan as a column."""
     for pair, letter in SCANS:
@@ -254,80 +363,119 @@ def scanned(unit: Column) -> Column:
     return unit
 
 
-def alike(s: str, t: str) -> Column:
-    """A cheap necessary condition of stem_softness > 0."""
-    p, q = F.split(s, " "), F.split(t, " ")
-    joined = F.levenshtein(F.replace(s, F.lit(" "), F.lit("")), F.replace(t, F.lit(" "), F.lit("")), 4) >= 0
-    return joined | ((F.size(F.array_except(p, q)) <= 2) & (F.size(F.array_except(q, p)) <= 2) & (F.abs(F.size(p) - F.size(q)) <= 1))
-
-
 def two_slips(block: Column, length: Column) -> Column:
     """Whether stem_softness allows two slips in units of that length."""
     return (length >= 12) | ((block != "*") & (length >= 8))
 
 
+def word_frequencies(parsed: DataFrame) -> DataFrame:
+    """(entity_type, kind, word, df): in how many names each word of a stem is; an organisation's spellings of one stem count once."""
+    person = F.col("kind") == "P"
+    names = parsed.select("entity_type", "kind", "stem", *[F.when(person, F.col(c)).alias(c) for c in ("g1", "g2", "suffix")]).distinct()
+    return names.select("entity_type", "kind", F.explode(F.array_distinct(F.split("stem", " "))).alias("word")).groupBy("entity_type", "kind", "word").agg(F.count("*").alias("df"))
+
+
+def with_frequencies(parsed: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """(entity_type, kind, stem, dfs): the frequency of each word of every stem; 1 for words that ``words`` does not have."""
+    words = word_frequencies(parsed) if words is None else words
+    stems = parsed.select("entity_type", "kind", "stem").distinct()
+    placed = stems.select("entity_type", "kind", "stem", F.posexplode(F.split("stem", " ")).alias("at", "word")).join(words, ["entity_type", "kind", "word"], "left")
+    return placed.groupBy("entity_type", "kind", "stem").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("df", F.lit(1)).alias("df")))).getField("df").alias("dfs"))
+
+
+ESTABLISHED, RATIO = 5, 20
+
+
+def established(a: Column, b: Column) -> Column:
+    """Two words that are both in use, by their frequencies: neither is a misspelling of the other."""
+    return (F.least(a, b) >= ESTABLISHED) & (F.least(a, b) * RATIO >= F.greatest(a, b))
+
+
+def rarity(df: Column | str) -> Column:
+    """Inverse document frequency weight, 1 for a word of one name."""
+    return 1 / (1 + F.log(F.greatest(F.col(df) if isinstance(df, str) else df, F.lit(1))))
+
+
+STEM = ["entity_type", "block", "kind", "stem", "dfs"]
+
+
 def similar_stems(stems: DataFrame, asked: DataFrame | None = None) -> DataFrame:
-    """(entity_type, block, kind, x, y) of different stems of a block that share a similar unit, x < y.
+    """(entity_type, block, kind, x, y, dfs_x, dfs_y) of different stems of a block that may match softly, x < y.
 
     With ``asked``, more stems of the same columns, only the pairs of one of those, as x, with one of ``stems``.
 
-    One slip changes at most QGRAM + 1 of a unit's q-grams, so two units within k slips share one of the first
-    k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is joined. Units with no q-gram left after
-    their slips, and those alike but for what scans confuse, meet on keys of their own. Pairs then need a unit within
-    the slips, of which a swap counts as two edits, and tokens that differ in one place or are run together.
+    A unit is a whole stem without spaces or, of an organisation, one word together with the words beside it (the rest). Units
+    are compared only if their rests are equal. One slip changes at most QGRAM + 1 of a unit's q-grams, so two units
+    within k slips share one of the first k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is
+    joined. Units with no q-gram left after their slips, and those alike but for what scans confuse, meet on keys of
+    their own, as do stems of the same letters (words in another order, run together or torn), half a double name with
+    the whole, and an initial with a word. The frequency of a q-gram bounds its group; large groups are split.
     """
-    keys = ["entity_type", "block", "kind"]
-    every = stems.select(*keys, "stem", F.lit(False).alias("asks"))
+    every = stems.select(*STEM, F.lit(False).alias("asks"))
     if asked is not None:
-        every = every.union(asked.select(*keys, "stem", F.lit(True)))
-    held = every.select(F.xxhash64(*keys).alias("at"), *keys, "stem", "asks", F.explode(stem_units(F.col("kind"), F.col("stem"))).alias("unit"))
-    units = held.select("at", "unit", "asks", two_slips(F.col("block"), F.length("unit")).alias("two")).distinct()
-    grams = units.select("unit").distinct().select("unit", F.explode(qgrams(F.col("unit"))).alias("g")).select("unit", "g.gram", "g.place")
-    rarity = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    prefix = grams.join(rarity, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
-    prefix = prefix.select("unit", F.posexplode("s").alias("nth", "g")).select("unit", "nth", "g.gram", "g.place")
+        every = every.union(asked.select(*STEM, F.lit(True)))
+    every = every.select("*", F.split("stem", " ").alias("words"), F.replace("stem", F.lit(" "), F.lit("")).alias("whole"), F.xxhash64("entity_type", "block", "kind").alias("at"))
+    several, org = F.size("words") > 1, F.col("kind") == "O"
+    none = F.lit("")
+    rest = lambda i: F.array_join(F.array_sort(F.filter("words", lambda w, j: j != i)), " ")
+    unit = lambda u, r, df: F.struct(u.alias("unit"), r.alias("rest"), df.cast("bigint").alias("df"))
+    whole = F.array(unit(F.col("whole"), none, F.when(several, F.lit(1)).otherwise(F.col("dfs")[0])))
+    words = F.transform("words", lambda w, i: unit(w, rest(i), F.col("dfs")[i]))
+    units = F.when(org & several, F.concat(whole, words)).otherwise(whole)
+    held = every.select(*STEM, "asks", "at", several.alias("several"), F.explode(units).alias("u")).select(*STEM, "asks", "at", "several", "u.*")
+    held = held.withColumn("ctx", F.xxhash64("at", "rest")).withColumn("two", two_slips(F.col("block"), F.length("unit")))
+    different = held.select("unit").distinct()
+    grams = different.select("unit", F.explode(qgrams(F.col("unit"))).alias("g")).select("unit", "g.gram", "g.place")
+    frequency = grams.groupBy("gram").agg(F.count("*").alias("gdf"))
+    prefix = grams.join(frequency, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("gdf", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
+    # Keys beside the q-grams, each with the unit it stands for; a unit has few of them.
+    own = lambda key: F.struct(F.lit(1).cast("bigint").alias("gdf"), key.alias("gram"), F.lit(0).alias("place"))
+    length = F.length("unit")
+    empty = F.array().cast("array<struct<gdf:bigint,gram:string,place:int>>")
     # Units of up to QGRAM + 2 letters may share no q-gram after a slip; they meet on what is left without one letter.
-    short = units.select("unit").distinct().filter(F.length("unit") <= QGRAM + 2)
-    cut = F.transform(F.sequence(F.lit(1), F.length("unit")), lambda i: F.concat(F.substring("unit", F.lit(1), i - 1), F.substring("unit", i + 1, F.lit(QGRAM + 2))))
-    at = lambda key: [F.lit(0).alias("nth"), key.alias("gram"), F.lit(0).alias("place")]
-    prefix = prefix.union(short.select("unit", F.explode(F.array_append(cut, F.col("unit"))).alias("c")).select("unit", *at(F.concat(F.lit("~"), F.col("c")))).distinct())
+    cut = F.transform(F.sequence(F.lit(1), length), lambda i: own(F.concat(F.lit("~"), F.substring("unit", F.lit(1), i - 1), F.substring("unit", i + 1, length))))
+    short = F.when(length <= QGRAM + 2, F.array_append(cut, own(F.concat(F.lit("~"), F.col("unit"))))).otherwise(empty)
     # Two slips change all 8 q-grams of a unit of 8 letters only by swapping its letters 2, 3 and 6, 7; they meet with those sorted.
     pair = lambda i: F.array_join(F.array_sort(F.array(F.substring("unit", i, 1), F.substring("unit", i + 1, 1))), "")
-    eight = units.filter("two and length(unit) = 8").select("unit").distinct()
-    prefix = prefix.union(eight.select("unit", *at(F.concat(F.lit("#"), F.substring("unit", 1, 1), pair(2), F.substring("unit", 4, 2), pair(6), F.substring("unit", 8, 1)))))
-    scan = scanned(F.col("unit"))
-    confused = units.select("unit").distinct().select("unit", scan.alias("s"))
-    # Only units of which another is the scan, or that share it, have such a partner.
-    twins = confused.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
-    prefix = prefix.union(confused.join(twins, "s").select("unit", *at(F.concat(F.lit("="), F.col("s")))))
-    posted = units.join(prefix, "unit").filter(F.col("nth") <= F.when(F.col("two"), 2 * (QGRAM + 1)).otherwise(QGRAM + 1)).select("at", "unit", "gram", "place", "two", "asks").repartition(2 * partitions_for(stems.sparkSession), "at", "gram")
-    x, y = posted.alias("x"), posted.alias("y")
+    eight = F.when(F.col("two") & (length == 8), F.array(own(F.concat(F.lit("#"), F.substring("unit", 1, 1), pair(2), F.substring("unit", 4, 2), pair(6), F.substring("unit", 8, 1))))).otherwise(empty)
+    scan = F.array(own(F.concat(F.lit("="), scanned(F.col("unit")))))
+    # "@": all letters of a stem; "%": half a double name; "!": the first letter of a word beside the same others.
+    sorted_letters = F.array_join(F.array_sort(F.split("unit", "")), "")
+    same = F.when((F.col("rest") == "") & (org | F.col("several")), F.array(own(F.concat(F.lit("@"), F.when(org, sorted_letters).otherwise(F.col("unit")))))).when((F.col("rest") == "") & ~F.col("several"), F.array(own(F.concat(F.lit("@"), F.col("unit"))))).otherwise(empty)
+    half = F.when(org, empty).when(F.col("several"), F.transform(F.split("stem", " "), lambda w: own(F.concat(F.lit("%"), w)))).otherwise(F.array(own(F.concat(F.lit("%"), F.col("unit")))))
+    initial = F.when(org & (F.col("rest") != ""), F.array(own(F.concat(F.lit("!"), F.substring("unit", 1, 1))))).otherwise(empty)
+    limit = F.when(F.col("two"), 2 * (QGRAM + 1) + 1).otherwise(QGRAM + 2)
+    keys = F.array_distinct(F.concat(F.slice("s", F.lit(1), limit), short, eight, scan, same, half, initial))
+    posted = held.join(prefix, "unit").select(*STEM, "asks", "ctx", "unit", "two", "several", "df", F.explode(keys).alias("k")).select(*STEM, "asks", "ctx", "unit", "two", "several", "df", "k.*")
+    left, right = split_sides(posted, F.col("gdf"), F.col("stem"))
+    x, y = left.alias("x"), right.alias("y")
+    lx, ly = F.length("x.unit"), F.length("y.unit")
     in_slips = (F.levenshtein("x.unit", "y.unit", 2) >= 0) | (F.col("x.two") & F.col("y.two") & (F.levenshtein("x.unit", "y.unit", 4) >= 0))
-    close = ((F.abs(F.length("x.unit") - F.length("y.unit")) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & in_slips) | F.col("x.gram").startswith("=")
-    order = F.col("x.unit") < F.col("y.unit") if asked is None else F.col("x.asks") & ~F.col("y.asks") & (F.col("x.unit") != F.col("y.unit"))
-    met = x.join(y, [F.col("x.at") == F.col("y.at"), F.col("x.gram") == F.col("y.gram"), order, close])
-    near = met.select(F.col("x.at").alias("at"), F.col("x.unit").alias("u"), F.col("y.unit").alias("v")).distinct()
-    left = held.select("at", F.col("stem").alias("s"), F.col("unit").alias("u"), F.col("asks").alias("asks_s"))
-    right = held.select("at", F.col("stem").alias("t"), F.col("unit").alias("v"), F.col("asks").alias("asks_t"))
-    if asked is not None:
-        left, right = left.filter("asks_s"), right.filter("not asks_t")
-    left, right = left.drop("asks_s"), right.drop("asks_t")
-    same = left.join(right.withColumnRenamed("v", "u"), ["at", "u"])
-    pairs = left.join(near, ["at", "u"]).join(right, ["at", "v"]).select("at", "s", "t").union((same.filter("s < t") if asked is None else same).select("at", "s", "t"))
-    pairs = pairs.filter(F.col("s") != F.col("t")).filter(alike("s", "t"))
-    ends = (F.least("s", "t"), F.greatest("s", "t")) if asked is None else (F.col("s"), F.col("t"))
-    pairs = pairs.select("at", ends[0].alias("x"), ends[1].alias("y")).distinct()
-    return pairs.join(held.select("at", *keys).distinct(), "at").select(*keys, "x", "y")
+    sign = F.substring("x.gram", 1, 1)
+    plain = (F.abs(lx - ly) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & ~established(F.col("x.df"), F.col("y.df")) & in_slips
+    close = F.when(sign.isin("=", "@"), F.lit(True)).when(sign == "%", F.col("x.several") != F.col("y.several")).when(sign == "!", (lx == 1) != (ly == 1)).otherwise(plain)
+    order = F.col("x.stem") < F.col("y.stem") if asked is None else F.col("x.asks") & ~F.col("y.asks") & (F.col("x.stem") != F.col("y.stem"))
+    met = x.join(y, [*[F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("ctx", "gram", "piece_a", "piece_b", "entity_type", "block", "kind")], order, close])
+    pairs = met.select("x.entity_type", "x.block", "x.kind", F.col("x.stem").alias("x"), F.col("y.stem").alias("y"), F.col("x.dfs").alias("dfs_x"), F.col("y.dfs").alias("dfs_y"))
+    return pairs.groupBy("entity_type", "block", "kind", "x", "y").agg(F.first("dfs_x").alias("dfs_x"), F.first("dfs_y").alias("dfs_y"))
+
+
+NEAR = "entity_type string, block string, kind string, x string, y string, soft double"
 
 
 def _stem_verdict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keeps stem pairs whose tokens match softly; softness is the similarity of the stems, 0 to 1."""
     for batch in batches:
-        soft = [stem_softness(*row) for row in zip(batch["block"], batch["kind"], batch["x"], batch["y"])]
-        out = batch.assign(soft=np.array(soft, float))
+        soft = [stem_softness(*row) for row in zip(*[batch[c].tolist() for c in ("block", "kind", "x", "y", "dfs_x", "dfs_y")])]
+        out = batch.drop(columns=["dfs_x", "dfs_y"]).assign(soft=np.array(soft, float))
         yield out[out["soft"] > 0]
 
 
+def verified_stems(pairs: DataFrame) -> DataFrame:
+    """NEAR of candidate pairs of stems."""
+    return pairs.mapInPandas(_stem_verdict, NEAR)
+
+
 def _scan(s: str) -> str:
     """Letter pairs that scans confuse with one letter."""
     for pair, letter in SCANS:
@@ -336,6 +484,8 @@ def _scan(s: str) -> str:
 
 
 def _near(a: str, b: str, slips: int) -> float:
+    if min(len(a), len(b)) < 3:
+        return 1 - 1 / len(a) if len(a) == len(b) == 2 and a == b[::-1] else 0.0
     d = within(a, b, slips)
     if d > slips and _scan(a) == _scan(b):
         d = 1
@@ -343,84 +493,115 @@ def _near(a: str, b: str, slips: int) -> float:
 
 
 PART_OF_STEM = 0.8
+COMMON = 0.25  # a word of lower rarity does not tell organisations apart by itself
 
 
-def stem_softness(block: str, kind: str, x: str, y: str) -> float:
-    """0 if two stems differ, 0.99 if they are spelt alike but for spaces or order, PART_OF_STEM for one half of a double name."""
+def _weight(df: int) -> float:
+    return 1 / (1 + np.log(max(df, 1)))
+
+
+def stem_softness(block: str, kind: str, x: str, y: str, dfs_x=None, dfs_y=None) -> float:
+    """0 if two stems differ, 0.99 if they are spelt alike but for spaces or order, PART_OF_STEM for one half of a double name.
+
+    dfs: the frequencies of their words; without them all words count as rare. Shared words weigh their rarity, so a slip in
+    the one rare word costs more than a slip beside rare words; two established words are no slip of each other.
+    """
     a, b = x.replace(" ", ""), y.replace(" ", "")
     if a == b:
         return 0.99
     short = min(len(a), len(b))
     slips = 2 if short >= 12 or (block != "*" and short >= 8) else 1
     p, q = x.split(" "), y.split(" ")
+    df = dict(zip(p, dfs_x if dfs_x is not None else [1] * len(p)))
+    df |= dict(zip(q, dfs_y if dfs_y is not None else [1] * len(q)))
+    in_use = lambda u, v: min(df[u], df[v]) >= ESTABLISHED and min(df[u], df[v]) * RATIO >= max(df[u], df[v])
     if kind == "P":
         if len(p) != len(q) and ((len(p) == 1 and x in q) or (len(q) == 1 and y in p)):
             return PART_OF_STEM
-        return _near(a, b, slips)
+        return 0.0 if len(p) == len(q) == 1 and in_use(x, y) else _near(a, b, slips)
     left, right = sorted(set(p) - set(q)), sorted(set(q) - set(p))
     if not left and not right:
         return 0.99
     if len(left) == len(right) == 1:
         u, v = left[0], right[0]
-        if u in ORG_WORDS and v in ORG_WORDS:
-            return 0.0
+        shared = sum(_weight(df[w]) for w in set(p) & set(q))
         if 1 in (len(u), len(v)):  # an initial for a word, beside another rare word
-            return 0.85 if u[0] == v[0] and any(w not in ORG_WORDS and len(w) > 3 for w in set(p) & set(q)) else 0.0
-        return _near(u, v, 2 if block != "*" and min(len(u), len(v)) >= 8 else 1)
+            return 0.85 if u[0] == v[0] and any(_weight(df[w]) >= COMMON and len(w) > 3 for w in set(p) & set(q)) else 0.0
+        if in_use(u, v):
+            return 0.0
+        near = _near(u, v, 2 if block != "*" and min(len(u), len(v)) >= 8 else 1)
+        w = _weight(max(df[u], df[v]))
+        return (shared + w * near) / (shared + w) if near else 0.0
     # Words run together or torn apart, perhaps in another order.
     if "".join(sorted(a)) == "".join(sorted(b)) and len(left) + len(right) <= 3:
         return 0.95
     return _near(a, b, 1 if short < 12 else 2) if len(p) != len(q) else 0.0
 
 
-def _slot(a: str, b: str) -> Column:
+def part_fits(x: Column, y: Column) -> Column:
     """Whether one part, as columns, can be the same in both names."""
-    x, y = F.col(a), F.col(b)
-    either = F.concat(F.lit("/"), x, F.lit("/")).contains(F.concat(F.lit("/"), y, F.lit("/"))) | F.concat(F.lit("/"), y, F.lit("/")).contains(F.concat(F.lit("/"), x, F.lit("/")))
+    slash = lambda c: F.concat(F.lit("/"), c, F.lit("/"))
+    either = slash(x).contains(slash(y)) | slash(y).contains(slash(x))
     short = (F.length(x) == 1) | (F.length(y) == 1)
     return (x == "") | (y == "") | (x == y) | either | (short & (F.substring(x, 1, 1) == F.substring(y, 1, 1))) | ((F.length(x) > 3) & (F.length(y) > 3) & (F.levenshtein(x, y, 1) >= 0))
 
 
+def _slot(a: str, b: str) -> Column:
+    """part_fits of every given name of two parts with its counterpart."""
+    return F.forall(F.zip_with(F.split(a, " "), F.split(b, " "), lambda x, y: F.coalesce(part_fits(x, y), F.lit(True))), lambda fits: fits)
+
+
 NODE = ["entity_type", "court", "kind", "stem", "g1", "g2", "suffix", "form"]
 
 
-def name_nodes(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(names, nodes): names maps (entity_type, court, raw) to a node id; a node is one reading of a name in one court."""
+def name_nodes(mentions: DataFrame, scratch: Scratch) -> DataFrame:
+    """(entity_type, court, raw, node, parts...): the reading of every different name of every court; a node is one reading in one court."""
     raw = mentions.select("entity_type", F.coalesce("court", F.lit("")).alias("court"), name_column().alias("raw")).filter("raw is not null and entity_type is not null").distinct()
-    parsed = parse_names(raw)
-    names = raw.join(parsed, ["entity_type", "raw"])
-    node = F.concat_ws("\x1f", *NODE)
-    names = names.select("entity_type", "court", "raw", *[c for c in NODE if c not in ("entity_type", "court")], node.alias("node"))
-    return names, names.select("node", *NODE).distinct()
+    parsed = parse_names(raw, scratch=scratch)
+    named = raw.join(parsed, ["entity_type", "raw"])
+    return named.select("entity_type", "court", "raw", *[c for c in NODE if c not in ("entity_type", "court")], F.concat_ws("\x1f", *NODE).alias("node"))
 
 
 WEIGHT_GIVEN, WEIGHT_MIDDLE, ACCEPT = 0.35, 0.2, 0.62
 
 
+def meeting_keys(g1: Column) -> Column:
+    """Keys of which two given names that fit share one: their first letters; a missing one has its own."""
+    return F.when(g1 == "", F.array(F.lit(""))).otherwise(F.array_distinct(F.flatten(F.transform(F.split(g1, "/"), lambda g: F.array(F.substring(g, 1, 1), F.when(F.length(g) > 3, F.substring(g, 2, 1)).otherwise(F.substring(g, 1, 1)))))))
+
+
 def link_nodes(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b) of node ids of one entity, a < b."""
     block = F.when(F.col("entity_type") == "party", F.lit("*")).otherwise(F.col("court"))
-    nodes = nodes.withColumn("block", block)
-    stems = nodes.select("entity_type", "block", "kind", "stem").distinct()
-    near = scratch.table(similar_stems(stems).mapInPandas(_stem_verdict, "entity_type string, block string, kind string, x string, y string, soft double"))
+    nodes = scratch.table(nodes.withColumn("block", block).join(with_frequencies(nodes), ["entity_type", "kind", "stem"]))
+    stems = nodes.select(*STEM).distinct()
+    near = scratch.table(verified_stems(similar_stems(stems)))
     # Every node also stands under the stems similar to its own; a pair meets under the stem of one of the two.
     back = near.select("entity_type", "block", "kind", F.col("y").alias("stem"), F.col("x").alias("under"), "soft")
     forth = near.select("entity_type", "block", "kind", F.col("x").alias("stem"), F.col("y").alias("under"), "soft")
     keys = ["entity_type", "block", "kind", "stem"]
+    nodes = nodes.withColumn("rare", rarity(F.array_min("dfs")))
     own = nodes.withColumn("under", F.col("stem")).withColumn("soft", F.lit(1.0))
     away = nodes.join(back.unionByName(forth), keys)
-    left = own.select(*[F.col(c).alias(f"{c}_a") for c in ["node", "court", "g1", "g2", "suffix", "form"]], F.col("entity_type"), "block", "kind", "under")
+    parts = ["node", "court", "g1", "g2", "suffix", "form", "rare"]
+    # Names with different full given names never meet: both sides are spread over the letters these may begin with.
+    missing = F.lit("*")
+    spread = lambda df: F.explode(F.array_append(meeting_keys(F.col("g1")), missing)).alias("letter")
+    left = own.select(*[F.col(c).alias(f"{c}_a") for c in parts], "entity_type", "block", "kind", "under", spread(own))
     both = own.unionByName(away.select(own.columns))
-    right = both.select(*[F.col(c).alias(f"{c}_b") for c in ["node", "court", "g1", "g2", "suffix", "form"]], F.col("entity_type"), "block", "kind", "under", "soft")
-    pairs = left.join(right, ["entity_type", "block", "kind", "under"]).filter("node_a <> node_b and (soft < 1 or node_a < node_b)")
+    right = both.select(*[F.col(c).alias(f"{c}_b") for c in parts], "entity_type", "block", "kind", "under", "soft", spread(both))
+    pairs = left.join(right, ["entity_type", "block", "kind", "under", "letter"]).filter("node_a <> node_b and (soft < 1 or node_a < node_b)")
+    pairs = pairs.filter((F.col("letter") != missing) | (F.col("g1_a") == "") | (F.col("g1_b") == ""))
     fits = _slot("g1_a", "g1_b") & _slot("g2_a", "g2_b")
     for part in ("suffix", "form"):
         x, y = F.col(f"{part}_a"), F.col(f"{part}_b")
         fits &= (x == "") | (y == "") | (x == y)
-    # Soft similarity over the weights of the parts; a misspelt stem needs the given names or the court to agree.
+    # Soft similarity over the weights of the parts, the stem's by its rarity: a rare stem carries a name without given
+    # names; a misspelt or common one needs them, or the court, to agree.
     g = lambda a, b, w: F.when((F.col(a) == "") | (F.col(b) == ""), 0.0).when(F.col(a) == F.col(b), w).otherwise(0.6 * w)
-    score = F.col("soft") + g("g1_a", "g1_b", WEIGHT_GIVEN) + g("g2_a", "g2_b", WEIGHT_MIDDLE)
-    total = 1 + WEIGHT_GIVEN * ((F.col("g1_a") != "") | (F.col("g1_b") != "")).cast("double") + WEIGHT_MIDDLE * ((F.col("g2_a") != "") & (F.col("g2_b") != "")).cast("double")
+    weight = 0.7 + 0.6 * F.greatest("rare_a", "rare_b")
+    score = weight * F.col("soft") + g("g1_a", "g1_b", WEIGHT_GIVEN) + g("g2_a", "g2_b", WEIGHT_MIDDLE)
+    total = weight + WEIGHT_GIVEN * ((F.col("g1_a") != "") | (F.col("g1_b") != "")).cast("double") + WEIGHT_MIDDLE * ((F.col("g2_a") != "") & (F.col("g2_b") != "")).cast("double")
     pairs = pairs.filter(fits & (score >= ACCEPT * total))
     exact = F.col("soft") == 1
     same_court = F.col("court_a") == F.col("court_b")
@@ -440,7 +621,7 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     for part in ("g1", "g2", "suffix", "form"):
         a, b = F.col(f"{part}_a"), F.col(f"{part}_b")
         if part in ("g1", "g2"):
-            offer = F.when((a == "") & (b != ""), F.substring(b, 1, 1)).when(((F.length(a) == 1) | a.contains("/")) & (F.length(b) > 1) & ~b.contains("/"), b)
+            offer = F.when((a == "") & (b != "") & ~b.contains("/"), F.substring(b, 1, 1)).when(((F.length(a) == 1) | a.contains("/")) & (F.length(b) > 1) & ~b.contains("/"), b)
         else:
             offer = F.when((a == "") & (b != ""), b)
         offers.append(offer.alias(f"o_{part}"))
@@ -464,29 +645,37 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
 
 
 def name_entities(mentions: DataFrame) -> DataFrame:
-    """(entity_type, court, raw, node, entity): the entity of every different name of every court."""
+    """(entity_type, court, raw, node, entity, parts...): the entity of every different name of every court."""
     scratch = Scratch(mentions.sparkSession, "names")
-    names, nodes = name_nodes(mentions)
-    names = scratch.table(names)
+    names = scratch.table(name_nodes(mentions, scratch))
     links = scratch.table(link_nodes(names.select("node", *NODE).distinct(), scratch))
     grouped = components(links, "a", "b")
-    return names.join(grouped, names["node"] == grouped["id"], "left").select("entity_type", "court", "raw", "node", F.coalesce("group_id", "node").alias("entity"))
+    return names.join(grouped, names["node"] == grouped["id"], "left").select("entity_type", "court", "raw", "node", "stem", "g1", "g2", "suffix", F.coalesce("group_id", "node").alias("entity"))
 
 
 def listed_ids(entities: DataFrame) -> DataFrame:
     return entities.select(F.explode("mention_ids").alias("mention_id")).filter("mention_id is not null").distinct()
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mentions = read(spark, sf_dir, "mentions")
+def placed_mentions(mentions: DataFrame) -> DataFrame:
+    """(mention_id, normalized_name, entity): the name entity of every mention, one row each; the operator's compact output."""
     named = name_entities(mentions).select("entity_type", "court", "raw", "entity")
     rows = mentions.select("mention_id", "entity_type", F.coalesce("court", F.lit("")).alias("court"), name_column().alias("raw"), "normalized_name")
-    open_rows = rows.filter("mention_id is not null and trim(normalized_name) <> ''").join(listed_ids(read(spark, sf_dir, "entities")), "mention_id", "left_anti")
-    placed = open_rows.join(named, ["entity_type", "court", "raw"]).select("entity", "mention_id", "normalized_name").distinct()
+    return rows.filter("mention_id is not null").join(named, ["entity_type", "court", "raw"]).select("mention_id", "normalized_name", "entity").distinct()
+
+
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, mentions, spellings): every name entity with its number of mentions and of different names."""
+    placed = placed_mentions(read(spark, sf_dir, "mentions"))
+    return placed.groupBy("entity").agg(F.count_distinct("mention_id").alias("mentions"), F.count_distinct("normalized_name").alias("spellings"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = placed_mentions(read(spark, sf_dir, "mentions")).filter("trim(normalized_name) <> ''")
+    placed = placed.join(listed_ids(read(spark, sf_dir, "entities")), "mention_id", "left_anti")
     placed = Scratch(spark, "p1").table(placed)
-    a = placed.select("entity", F.col("mention_id").alias("mention_id_a"), F.col("normalized_name").alias("name_a"))
-    b = placed.select("entity", F.col("mention_id").alias("mention_id_b"), F.col("normalized_name").alias("name_b"))
-    return a.join(b, "entity").filter("mention_id_a < mention_id_b and name_a <> name_b").select("mention_id_a", "mention_id_b").distinct()
+    pairs = group_pairs(placed, "entity", "mention_id", ["normalized_name"])
+    return pairs.filter("normalized_name_a <> normalized_name_b").select("mention_id_a", "mention_id_b").distinct()
 
 
-QUERIES = {"p1_found": p1_found}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes}

@@ -31,21 +31,17 @@ PLACE_PARTS = ["direction", "street", "word", "unit", "station", "town", "state"
 
 
 def _plain(s: str) -> str:
-    s = regex.sub(r"(?<=\b\p{L})\.(?=\p{L}\b)", "", s.lower().replace("&", " and "))
+    s = regex.sub(r"(?<=\b\p{L})\.(?=\p{L}\b)", "", names.fold(s.lower()).replace("&", " and "))
     return regex.sub(r"[^\p{L}\p{M}\d]+", " ", regex.sub(r"[.'’]", "", s)).strip()
 
 
 @lru_cache(1 << 16)
-def read_name(value: str, entity_type: str) -> tuple[bool, str, str, str, str, str] | None:
-    """(plain, stem, g1, g2, suffix, form); plain: exactly these parts in their usual order, nothing else."""
-    p = names.parse_name(value, entity_type)
-    if p is None:
-        return None
-    kind, stem, g1, g2, suffix, form = p
+def read_name(value: str, kind: str, stem: str, g1: str, g2: str, suffix: str, form: str) -> tuple[bool, str, str, str, str, str]:
+    """(plain, stem, g1, g2, suffix, form) of a value read by names.parse_names; plain: exactly these parts in their usual order, nothing else."""
     literal = _plain(value)
     if kind == "O":
         core = literal
-        for name, pattern in names._FORMS:
+        for _, pattern in names._FORMS:
             m = pattern.search(literal)
             if m and m.start() > 0:
                 core = literal[: m.start()].strip()
@@ -82,11 +78,12 @@ def _read_values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     name_columns = ["name_plain", *[f"n_{p}" for p in NAME_PARTS]]
     place_columns = ["place_sound", "anchor", *[f"a_{p}" for p in PLACE_PARTS]]
     for b in batches:
-        n = [read_name(v, t) if v else None for v, t in zip(b["presentable_name"], b["entity_type"])]
+        parts = [b[c].tolist() for c in ("presentable_name", "kind", *NAME_PARTS)]
+        n = [read_name(*v) if v[0] and v[1] else None for v in zip(*parts)]
         a = [read_place(v) if v else None for v in b["address"]]
         left = pd.DataFrame([x or (None,) * len(name_columns) for x in n], columns=name_columns, index=b.index)
         right = pd.DataFrame([x or (None,) * len(place_columns) for x in a], columns=place_columns, index=b.index)
-        yield pd.concat([b.drop(columns=["entity_type"]), left, right], axis=1)
+        yield pd.concat([b.drop(columns=["kind", *NAME_PARTS]), left, right], axis=1)
 
 
 def present(c: str) -> Column:
@@ -129,7 +126,10 @@ def survivors(members: DataFrame, trust: DataFrame) -> DataFrame:
     clean = members.select("grp", "key", "entity_type", "docket_source", "filing_date", *[present(f).alias(f) for f in FIELDS]).dropDuplicates(["grp", "key"])
     kept = clean.select("grp", "key", "entity_type", "docket_source", iso_date("filing_date").alias("day"), *FIELDS)
     schema = "grp string, key string, docket_source string, day int, " + ", ".join(f"{f} string" for f in FIELDS) + ", " + _READ
-    parsed = scratch.table(kept.select("grp", "key", "docket_source", "day", *FIELDS, "entity_type").mapInPandas(_read_values, schema))
+    kept = scratch.table(kept)
+    read = names.parse_names(kept.select("entity_type", F.col("presentable_name").alias("raw")).filter("raw is not null and entity_type is not null"), scratch=scratch)
+    told = kept.join(read.withColumnRenamed("raw", "presentable_name"), ["entity_type", "presentable_name"], "left")
+    parsed = scratch.table(told.select("grp", "key", "docket_source", "day", *FIELDS, "kind", *NAME_PARTS).mapInPandas(_read_values, schema))
     full = lambda c: F.when(F.length(c) > 1, F.col(c))
     filled = lambda c: F.when(F.col(c) != "", F.col(c))
     plain = lambda c: F.when(F.col("name_plain"), F.col(c))

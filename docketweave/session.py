@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites of columns cost more than the columns
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -1,20 +1,26 @@
 """Sentence boundaries across scripts, by document-centred disambiguation.
 
 A stop is ambiguous only after an abbreviation, an initial or a number. What a word is, the document
-itself says first: a word seen without a stop elsewhere is no abbreviation, one whose stop is followed
+itself says first: a word seen without a stop elsewhere in it is no abbreviation, one whose stop is followed
 by a small letter, a digit or a comma is one; a capitalised word also seen in small letters
-is no proper name, so it may open a sentence. Short words that a document leaves open are looked
-up in counts over the whole corpus, which are joined to the documents that ask for them and not broadcast.
-Scripts bring their own terminators: full-width stops, danda, the Arabic and Greek question marks, and
-spaces between Thai letters.
+is no proper name, so it may open a sentence. What a document leaves open the corpus decides: a word that
+has its stop far more often than words have one, for its length, is an abbreviation (the log-likelihood collocation test of Kiss and
+Strunk), one mostly without is none. Only where that is silent too, a short list of usual abbreviations counts. Scripts
+bring their own terminators: full-width stops, danda, the Arabic and Greek question marks, and spaces between Thai letters.
+
+Each text is read once: a pass over the batches cuts at every stop that is not surely inside a sentence, notes the word before each
+cut that hangs on the corpus, and counts the words. Counts are summed and joined to the noted words; then cuts are
+taken back by offsets alone.
 
 Defined results: null, empty and blank texts have no sentences; offsets are code points; a text without
 any terminator is one sentence per paragraph; every character but outer white space is in exactly one
-sentence; texts of any length are cut whole. Only the two columns named are read.
+sentence; texts and words of any length are read whole. Only the two columns named are read.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -22,32 +28,28 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from docketweave.session import read
+from docketweave.session import Scratch, read
 
-# Abbreviations that are followed by what they introduce, so their stop ends nothing.
+# Usual abbreviations that are followed by what they introduce, so their stop ends nothing.
 LEADING = set(
-    """mr mrs ms dr prof hon st no rev gen maj col capt lt sgt messrs mme mlle me mm hr fr herr vs v cf viz nos pp paras para
-    art arts sec secs ex exh exhs dkt reg rep ch cl vol vols approx fed evid civ crim app ctrm tel fig figs eq marov mfg dept
+    """mr mrs ms dr prof hon st no nos rev gen maj col capt lt sgt messrs mme mlle me mm hr fr herr vs v cf viz pp para paras
+    art arts sec secs ex exh reg rep ch cl vol vols approx fed civ crim app tel fig figs eq dkt evid ctrm mfg dept ins univ assn natl intl bldg
     e.g i.e z.b d.h d.a u.a vgl bl abs nr bspw ca bzw usw.f núm pág págs exp sr.a sra sres dra d.ª p.ej pej
     al.n ст п т.е т.к т.д г-н см стр ул д р.с βλ σελ κ αρ άρθρ ص د सं डॉ श्री पृ p s n.b""".split()
 )
-# Abbreviations that may also stand at the end of a sentence.
+# Usual abbreviations that may also stand at the end of a sentence.
 TRAILING = set(
     """inc corp co ltd llc llp jr sr bros etc al esq p.c n.a p.a l.p u.s u.s.a ph.d j.d ll.m m.d b.a m.a a.m p.m
     jan feb mar apr jun jul aug sep sept oct nov dec cía uu ee.uu г руб млн тыс др usw ff""".split()
 )
 TIMES = {"a.m", "p.m"}
-# Words that open sentences far more often than they follow a name or acronym.
+# English function words, which open sentences and follow no name as part of it.
 STARTERS = set(
-    """the a an this that these those they it he she we you i in on at by for from under upon after before when while if as
-    there here why who what where how which is are was were does did do moreover however meanwhile accordingly plaintiff
-    plaintiffs defendant defendants counsel venue damages nothing so per pursuant both same similarity contacts name no motion
-    motions order hearing answer reply exhibits filing mail notice case minute summons transcript proposed rule awards reach
-    admitted nos cf viz but see note further additionally""".split()
+    """the a an this that these those it they he she we you i in on at by for from under upon after before when while if as
+    there here why who what where how which is are was were does did do so per but no""".split()
 )
 SPEAKER = regex.compile(r"(?:[QA]\.|[qa]\.)(?=\s)|(?:THE|tHE|The) [A-Z]{3,}:|(?:MR|MS|MRS|mR|mS|mRS)\. \p{L}+:")
 ITEM = regex.compile(r"(?:\(?\p{N}{1,3}[.)]|\(\p{L}{1,4}\)|[IVXLC]{1,6}\.|\p{L}\.)(?=\s)")
@@ -58,51 +60,62 @@ CLOSERS = set(OPENERS.values()) | {'"', "’", "'", "”", "“"}
 CANDIDATE = regex.compile(r"[.!?…‽。！？｡．।॥؟۔;;]+|\n|\p{Thai}[  ​]+(?=\p{Thai})")
 NEWLINES = str.maketrans({c: "\n" for c in "\r  \x85\x0b\x0c"})
 WORD = regex.compile(r"[\p{L}\p{M}][\p{L}\p{M}'’ªº-]*(?:\.[\p{L}\p{M}]+)*")
-TOKEN_BEFORE = regex.compile(r"[\p{L}\p{M}ªº\d'’]+(?:[.\-][\p{L}\p{M}\d]+)*$")
+# Letters with the marks that scripts of South and South-East Asia, Hebrew and Arabic set on them.
+_L = r"[^\W\d_]|[\u0300-\u036f\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0670\u0900-\u0903\u093a-\u094f\u0951-\u0957\u0962\u0963\u0980-\u0dff\u0e31\u0e34-\u0e3a\u0e47-\u0e4e]"
+TOKENS = re.compile(rf"((?:{_L})(?:{_L}|['’ªº-])*(?:\.(?:{_L})+)*)(\.[,;:)]|\.[ \n]{{1,2}}(?=[a-zß-öø-ÿα-ώа-я0-9])|\.?)")
 MONTHS_DE = {"januar", "februar", "märz", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "dezember"}
-LONGEST_OPEN = 6
+
+
+SMALL_START = re.compile(r"[!?][\"'”’)]* +[a-zß-öø-ÿ]")
+# Function words that go on after a name or an abbreviation, also in texts whose sentences start small.
+GOING_ON = {"and", "of", "in", "on", "for", "at", "by", "is", "was", "to", "or", "vs", "v"}
 
 
 class Lexicon:
-    """What one document says about its own words."""
-
-    def __init__(self, text: str, known: set[str] | frozenset[str] = frozenset()):
-        self.known = known
-        self.bare: Counter[str] = Counter()
-        self.abbreviated: Counter[str] = Counter()
-        self.stopped: Counter[str] = Counter()
-        self.small: set[str] = set()
-        self.starts: set[str] = set()
-        n = len(text)
-        previous_end, previous_plain = 0, True
-        for m in WORD.finditer(text):
-            w, e = m.group(), m.end()
-            low = w.lower()
-            if w[0].islower():
-                self.small.add(low)
-            if previous_plain and text[previous_end : m.start()].strip(" \n\t \"'“«(") in ("!", "?", "."):
-                self.starts.add(w)
-            if e < n and text[e] == ".":
-                if len(low) <= 8:
-                    follows = text[e + 1 : e + 4].lstrip(" \n ")
-                    if e + 1 < n and (text[e + 1] in ",;:)" or (follows and (follows[0].islower() or follows[0].isdigit()))):
-                        self.abbreviated[low] += 1
-                    self.stopped[low] += 1
-            else:
-                self.bare[low] += 1
-            previous_end, previous_plain = e, len(low) > 3 and "." not in low and low not in LEADING and low not in TRAILING
-        upper, small = sum(c.isupper() for c in text if c.isalpha()), sum(c.islower() for c in text if c.isalpha())
-        self.shouting = upper > 0.85 * (upper + small) > 0
+    """What one document says about its own words. known holds what the corpus says of a word: True if it is an abbreviation."""
+
+    def __init__(self, text: str, known: dict[str, bool] | None = None):
+        self.known = known or {}
+        self.tokens = TOKENS.findall(text)
+        self.small = {w.lower() for w in {w for w, _ in self.tokens} if w[0].islower()}
+        self.bare = Counter([w.lower() for w, stop in self.tokens if not stop])
+        self.stopped = Counter([w.lower() for w, stop in self.tokens if stop])
+        self.abbreviated = Counter([w.lower() for w, stop in self.tokens if len(stop) > 1])
+        upper = sum(map(str.isupper, text))
+        self.small_starts = SMALL_START.search(text) is not None
+        self.shouting = upper > 0 and upper > 0.85 * (upper + sum(map(str.islower, text)))
+
+    def opens(self, word: str) -> bool:
+        """Whether a capitalised word may open a sentence: it is no name, as it is also written small."""
+        low = word.lower()
+        return low in STARTERS or (low in self.small and not self.shouting)
 
     def is_abbreviation(self, low: str) -> bool | None:
-        """None where neither the document nor the fixed lists decide."""
-        if low in LEADING or low in TRAILING or low in self.known:
-            return True
-        if self.bare[low] or len(low) > LONGEST_OPEN:
-            return False
-        if self.abbreviated[low] >= 2 and low not in self.small:
-            return True
-        return None
+        """None where the document does not decide."""
+        if self.bare[low]:
+            return False if low not in LEADING and low not in TRAILING else None
+        return True if self.abbreviated[low] > 1 and low not in self.small else None
+
+
+def token_before(text: str, start: int, stop: int) -> str:
+    """The token that ends at stop, not beyond start; of any length."""
+    i = stop
+    while i > start and ((c := text[i - 1]).isalnum() or c in "ªº'’.-" or unicodedata.category(c)[0] == "M"):
+        i -= 1
+    while i < stop and text[i] in ".-'’":
+        i += 1
+    return text[i:stop]
+
+
+PAIRS = re.compile(r'[()\[\]{}«»„“”‹›「」『』（）【】《》〈〉"]|\n[^\S\n]*\n')
+BREAKS = re.compile("[" + re.escape("".join(map(chr, NEWLINES))) + "]")
+THAI, GREEK, LATIN = regex.compile(r"\p{Thai}"), regex.compile(r"\p{Greek}"), regex.compile(r"\p{Latin}")
+UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Hangul}]")
+
+
+def single_breaks(text: str) -> str:
+    """The text with every kind of line break as one line feed, at the same offsets."""
+    return text.replace("\r\n", " \n").translate(NEWLINES) if BREAKS.search(text) else text
 
 
 def _paired(text: str) -> tuple[bytes | list[int], bytearray]:
@@ -110,7 +123,7 @@ def _paired(text: str) -> tuple[bytes | list[int], bytearray]:
     stack: list[tuple[str, int, str]] = []
     spans: list[tuple[int, int]] = []
     straight = -1
-    for m in regex.finditer(r'[()\[\]{}«»„“”‹›「」『』（）【】《》〈〉"]|\n[^\S\n]*\n', text):
+    for m in PAIRS.finditer(text):
         c, i = m.group(), m.start()
         if c[0] == "\n":
             stack, straight = [], -1  # a pair does not reach over a blank line
@@ -144,22 +157,25 @@ def _paired(text: str) -> tuple[bytes | list[int], bytearray]:
 
 
 def _heading(line: str) -> bool:
-    letters = [c for c in line if c.isalpha()]
-    return 2 < len(letters) <= 60 and all(not c.islower() for c in letters) and any(c.isupper() for c in letters) and line[-1:] not in ".!?,;"
+    return line.isupper() and line[-1:] not in ".!?,;" and sum(map(str.isalpha, line)) > 2
 
 
 def _remark(line: str) -> bool:
     return line[:1] in "([" and line[-1:] in ")]"
 
 
-def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: set[str] | None = None) -> list[tuple[int, int]]:
-    """(start, end) of each sentence. Words that stay open are added to ``ask``."""
+def boundaries(text: str | None, known: dict[str, bool] | None = None, ask: dict[int, tuple[str, str]] | None = None, lexicon: Lexicon | None = None) -> list[tuple[int, int]]:
+    """(start, end) of each sentence.
+
+    With ``ask``, cuts that hang on the corpus are made and noted there: place of the cut -> the words before and after its stop. The
+    first is empty where the cut stands only if the second often opens sentences.
+    """
     if not text or text.isspace():
         return []
     raw = text
-    text = text.replace("\r\n", " \n").translate(NEWLINES)
+    text = single_breaks(text)
     n = len(text)
-    lexicon = Lexicon(text, known)
+    lexicon = lexicon or Lexicon(text, known)
     depth, closes = _paired(text)
     lines = [s.strip() for s in text.split("\n") if s.strip()]
     ended = sum(s[-1] in STOPS or s[-1] in CLOSERS for s in lines)
@@ -198,7 +214,7 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
             speaker = SPEAKER.match(text, k) is not None
             if _heading(line) and not lexicon.shouting:
                 joined = False
-            elif lexicon.shouting and _heading(line) and blank and len(line) < 40:
+            elif lexicon.shouting and _heading(line) and blank and last not in STOPS:
                 joined = False
             elif ITEM.fullmatch(line + " ", 0, len(line)):
                 joined = True
@@ -207,7 +223,7 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
             elif speaker or _remark(rest) and (last in STOPS or by_line) or (_heading(rest) and not lexicon.shouting):
                 joined = False
             elif last in ".\u2026":
-                joined = not _final(text, start, i, k, lexicon, ask, by_line)
+                joined = not _final(text, start, i, k, lexicon, ask, by_line, i)
             elif last in STOPS or (last in CLOSERS and len(line) > 1 and line[-2] in STOPS):
                 joined = False
             elif by_line:
@@ -217,7 +233,7 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
             if not joined:
                 cut(i)
             continue
-        if regex.match(r"\p{Thai}", c):
+        if THAI.match(c):
             if depth[i] == 0:
                 cut(i + 1)
             continue
@@ -228,7 +244,7 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
             end += 1
         if inside and depth[min(end, n)] > 0:
             continue
-        if c[0] in "\u037e;" and not (i and regex.match(r"\p{Greek}", text[i - 1])):
+        if c[0] in "\u037e;" and not (i and GREEK.match(text[i - 1])):
             continue
         if end >= n:
             continue
@@ -244,8 +260,6 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
             if quoted and not line_break:
                 if c[0] in CJK or not spaced or not (ahead.isupper() or ahead in "\"“«([" or ahead.isdigit()):
                     continue
-                if text[end - 1] in ")]" and text[start] not in "([":
-                    pass
         if c[0] in CJK or c[0] in "।॥؟۔" or c[0] in "\u037e;":
             if not line_break or c[0] in CJK:
                 cut(end)
@@ -257,26 +271,25 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
                 if ahead in ",;:)" or (inside and ahead.islower()):
                     continue
                 cut(end)
-            elif not spaced and regex.match(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Hangul}]", ahead):
+            elif not spaced and UNSPACED.match(ahead):
                 cut(end)
             continue
         if not spaced:
-            before = TOKEN_BEFORE.search(text, max(start, i - 40), i)
-            word = before.group() if before else ""
+            word = token_before(text, start, i)
             nxt = text[k + 1] if k + 1 < n else " "
             glued = ahead.isupper() and (nxt.islower() or nxt in " '") and (end > j or (len(word) > 2 and (word.islower() or word[1:].islower() or word.isdigit()) and "." not in word))
             chunk = text[text.rfind(" ", 0, i) + 1 : i]
-            if glued and "//" not in chunk and "@" not in chunk and lexicon.is_abbreviation(word.lower()) is not True and not (word[:1].isupper() and not word.isdigit() and end == j and len(word) < 4):
+            if glued and "//" not in chunk and "@" not in chunk and not lexicon.is_abbreviation(word.lower()) and word.lower() not in LEADING and word.lower() not in TRAILING and not (word[:1].isupper() and not word.isdigit() and end == j and len(word) < 4):
                 cut(end)
             continue
-        if ahead in ",;:)]" or (ahead in "–—" and False):
+        if ahead in ",;:)]":
             continue
         if len(c) > 1 or c == "\u2026":  # an ellipsis goes on unless a new sentence plainly starts
             follower = WORD.match(text, k)
-            if follower and ahead.isupper() and follower.group().lower() not in ("i", "i'm", "i'd", "i've", "i’m") and follower.group().lower() in (STARTERS | lexicon.small):
+            if follower and ahead.isupper() and follower.group().lower() not in ("i", "i'm", "i'd", "i've", "i’m") and (follower.group().lower() in STARTERS or follower.group().lower() in lexicon.small):
                 cut(end)
             continue
-        if _final(text, start, i, k, lexicon, ask, by_line):
+        if _final(text, start, i, k, lexicon, ask, by_line, end):
             cut(end)
     out: list[tuple[int, int]] = []
     lo = 0
@@ -293,15 +306,14 @@ def boundaries(text: str, known: set[str] | frozenset[str] = frozenset(), ask: s
     return out
 
 
-def _final(text: str, start: int, i: int, k: int, lexicon: Lexicon, ask: set[str] | None, by_line: bool) -> bool:
-    """Whether the stop that ends before k, with i at or after it, ends a sentence."""
+def _final(text: str, start: int, i: int, k: int, lexicon: Lexicon, ask: dict[int, tuple[str, str]] | None, by_line: bool, at: int) -> bool:
+    """Whether the stop that ends before k, with i at or after it, ends a sentence; a cut there would be at ``at``."""
     stop = text.rfind(".", start, i + 1)
     if stop < 0 or text[stop + 1 : i].strip("  \"'”’»)]}“"):
         return True
     line_break = "\n" in text[stop:k]
     closed = stop + 1 < len(text) and not text[stop + 1].isspace()
-    before = TOKEN_BEFORE.search(text, max(start, stop - 40), stop)
-    word = before.group() if before else ""
+    word = token_before(text, start, stop)
     low = word.lower()
     ahead = text[k]
     follower = WORD.match(text, k)
@@ -321,22 +333,31 @@ def _final(text: str, start: int, i: int, k: int, lexicon: Lexicon, ask: set[str
     if len(nxt) == 1 and text[k + 1 : k + 2] == ".":
         opens = False
     else:
-        opens = nlow in STARTERS or (nlow in lexicon.small and ahead.isupper() and not lexicon.shouting) or (nxt in lexicon.starts and nlow in lexicon.small)
+        opens = ahead.isupper() and lexicon.opens(nxt) or nlow in STARTERS
     if low in ("no", "nos") and not (ahead.isdigit() or ahead in "#§" or ahead.islower()):
         return line_break or ITEM.match(text, start) is not None or opens
     if single and not word.isdigit():
-        if word.islower() and regex.match(r"\p{Latin}", word):
+        if word.islower() and LATIN.match(word):
             return ahead.isupper() and opens and low not in LEADING
         if not ahead.isupper():
             return line_break and by_line and not ahead.islower() and not ahead.isdigit()
-        previous = TOKEN_BEFORE.search(text, start, max(start, text.rfind(word, start, stop) - 1))
-        label = (previous.group().lower() if previous else "") in ("exhibit", "exhibits", "part", "appendix", "class", "section", "count", "schedule", "vitamin", "and")
-        return (label and not line_break) or opens and nlow in STARTERS and len(nxt) > 1
+        label = token_before(text, start, max(start, text.rfind(word, start, stop) - 1)).lower() in ("exhibit", "exhibits", "part", "appendix", "class", "section", "count", "schedule", "vitamin", "and")
+        return (label and not line_break) or (opens and len(nxt) > 1)
+    verdict = lexicon.known.get(low)
+    if verdict is None:
+        verdict = lexicon.is_abbreviation(low)
+    listed = low in LEADING or low in TRAILING or "." in low
+    if verdict is None and not listed and ask is not None and ahead.isalnum() and not (opens and ahead.isupper()):
+        ask[at] = (low, nlow)  # cut, unless the corpus knows better
+        return True
+    if verdict is False and not listed:
+        return True
     if low in LEADING:
         return False
     if low in ("sr", "jr"):  # a title if no name stands before it
-        named = TOKEN_BEFORE.search(text, start, max(start, text.rfind(word, start, stop) - 1)) or TOKEN_BEFORE.search(text, start, max(start, text.rfind(word, start, stop) - 2))
-        if not named or named.group()[0].islower():
+        at_word = text.rfind(word, start, stop)
+        named = token_before(text, start, max(start, at_word - 1)) or token_before(text, start, max(start, at_word - 2))
+        if not named or named[0].islower():
             return False
     if low in TIMES:
         return ahead.isupper() or ahead in "\"“«([" or (line_break and by_line and not ahead.islower())
@@ -344,64 +365,93 @@ def _final(text: str, start: int, i: int, k: int, lexicon: Lexicon, ask: set[str
         if ahead.isdigit() or ahead in "§&":
             return line_break and by_line
         if ahead.islower():
-            return nxt in lexicon.starts and nlow not in ("and", "of", "in", "on", "for", "at", "by", "is", "was", "to", "or", "vs", "v") and any(s[:1].islower() for s in lexicon.starts) and low != "mfg"
+            if lexicon.small_starts and low in TRAILING and nlow not in GOING_ON and ask is not None:
+                ask[at] = ("", nlow)
+                return True
+            return False
         if lexicon.shouting:
-            return opens and nlow in STARTERS
+            if nlow not in STARTERS and len(nlow) > 1 and low in TRAILING and ask is not None:
+                ask[at] = ("", nlow)  # cut, if the corpus knows that the next word opens sentences
+                return True
+            return nlow in STARTERS
         if "." in low and low not in TRAILING or low in ("u.s", "u.s.a", "ee.uu"):
             return opens
         return True
-    verdict = lexicon.is_abbreviation(low)
-    if verdict is None and ask is not None and (ahead.isupper() or ahead.isdigit()):
-        ask.add(low)
     return not verdict or (opens and ahead.isupper())
 
 
-def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        bare: Counter[str] = Counter()
-        abbreviated: Counter[str] = Counter()
-        for t in batch["text"]:
-            if t:
-                lexicon = Lexicon(t)
-                bare.update({w: c for w, c in lexicon.bare.items() if len(w) <= LONGEST_OPEN})
-                abbreviated.update({w: c for w, c in lexicon.abbreviated.items() if len(w) <= LONGEST_OPEN})
-        words = [*{*bare, *abbreviated}]
-        yield pd.DataFrame({"word": pd.Series(words, dtype=object), "bare": [bare[w] for w in words], "abbreviated": [abbreviated[w] for w in words]})
+def collocation(stopped: Column, bare: Column, all_stopped: Column, everything: Column, length: Column) -> Column:
+    """Log-likelihood that a word keeps its stop, less for longer words and for those also seen without; about 0.3 and more is an abbreviation."""
+    n = (stopped + bare).cast("double")
+    p = all_stopped / everything
+    q = F.lit(0.99)
+    null = stopped * F.log(p) + bare * F.log(1 - p)
+    kept = stopped * F.log(q) + bare * F.log(1 - q)
+    penalty = F.exp(-length.cast("double")) * F.pow(length.cast("double"), -bare.cast("double"))
+    return F.when(n > 0, -2 * (null - kept) * penalty).otherwise(0.0)
+
+
+LEAST, SHARE = 0.3, 0.25
+PASS = "key {kind}, lo array<int>, hi array<int>, at array<int>, word array<string>, next array<string>, seen array<string>, stopped array<bigint>, bare array<bigint>"
 
 
 def split_sentences(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, start_pos, end_pos) of every sentence of every row of df; keys are unique."""
+    kind = df.schema[key].dataType.simpleString()
+    scratch = Scratch(df.sparkSession, "sentences")
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.trim("text") != "")
-    counts = (
-        docs.select("text").mapInPandas(_evidence, "word string, bare bigint, abbreviated bigint").groupBy("word").agg(F.sum("bare").alias("bare"), F.sum("abbreviated").alias("abbreviated"))
-    )
-    abbreviations = counts.filter("abbreviated >= 3 and bare * 10 < abbreviated").select("word")
 
-    def questions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for k, t in zip(batch["key"].tolist(), batch["text"]):
-                ask: set[str] = set()
-                boundaries(t, ask=ask)
-                rows += [(k, w) for w in ask]
-            yield pd.DataFrame(rows, columns=["key", "word"])
-
-    kind = df.schema[key].dataType.simpleString()
-    asked = docs.mapInPandas(questions, f"key {kind}, word string")
-    answers = asked.join(abbreviations, "word", "left_semi").groupBy("key").agg(F.sort_array(F.collect_set("word")).alias("known"))
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("start_pos", T.IntegerType()), T.StructField("end_pos", T.IntegerType())])
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, spans = [], []
-            for k, t, known in zip(batch["key"].tolist(), batch["text"], batch["known"]):
-                found = boundaries(t, frozenset(known) if known is not None else frozenset())
-                keys += [k] * len(found)
-                spans += found
-            at = np.array(spans, np.int32).reshape(-1, 2)
-            yield pd.DataFrame({key: keys, "start_pos": at[:, 0], "end_pos": at[:, 1]})
-
-    return docs.join(answers, "key", "left").select("key", "text", "known").mapInPandas(cut, schema)
+            stopped: Counter[str] = Counter()
+            bare: Counter[str] = Counter()
+            first: Counter[str] = Counter()
+            for k, t in zip(batch["key"].tolist(), batch["text"].tolist()):
+                ask: dict[int, tuple[str, str]] = {}
+                t = single_breaks(t)
+                lexicon = Lexicon(t)
+                stopped.update(lexicon.stopped)
+                bare.update(lexicon.bare)
+                found = boundaries(t, ask=ask, lexicon=lexicon)
+                for i, (a, _) in enumerate(found):
+                    if (not i or not any(found[i - 1][1] <= x <= a for x in ask)) and (m := WORD.match(t, a)):
+                        first[m.group().lower()] += 1
+                if found:
+                    rows.append((k, [a for a, _ in found], [b for _, b in found], list(ask), [w for w, _ in ask.values()], [w for _, w in ask.values()], None, None, None))
+            words = list(stopped)
+            # Words never seen with a stop need no row: they are no abbreviations. Their number is kept under "".
+            # "^" counts how often a word opens a sentence, and how often it is there at all.
+            seen = [*words, "", *["^" + w for w in first]]
+            with_stop = [*[stopped[w] for w in words], 0, *first.values()]
+            without = [*[bare[w] for w in words], sum(bare.values()) - sum(bare[w] for w in words), *[bare[w] + stopped[w] for w in first]]
+            rows.append((None, None, None, None, None, None, seen, with_stop, without))
+            yield pd.DataFrame(rows, columns=["key", "lo", "hi", "at", "word", "next", "seen", "stopped", "bare"])
+
+    done = scratch.table(docs.mapInPandas(run, PASS.format(kind=kind)))
+    counted = done.filter("seen is not null").select(F.explode(F.arrays_zip("seen", "stopped", "bare")).alias("c")).groupBy("c.seen").agg(F.sum("c.stopped").alias("stopped"), F.sum("c.bare").alias("bare"))
+    counted = scratch.table(counted)
+    opening = counted.filter(F.col("seen").startswith("^") & (F.col("stopped") >= 5) & (F.col("stopped") * 10 >= F.col("bare"))).select(F.substring("seen", 2, 1 << 20).alias("next"), F.lit(1).alias("opens"))
+    counted = counted.filter(~F.col("seen").startswith("^"))
+    whole = counted.agg(F.sum("stopped").alias("all_stopped"), F.sum(F.col("stopped") + F.col("bare")).alias("everything"))  # one row
+    asked = done.filter("size(at) > 0").select("key", F.explode(F.arrays_zip("at", "word", "next")).alias("q")).select("key", "q.at", "q.word", "q.next")
+    asked = scratch.table(asked.join(opening, "next", "left").select("key", "at", "word", F.coalesce("opens", F.lit(0)).alias("opens")))
+    # What follows an abbreviation seldom opens sentences elsewhere; what follows a word that just ends them does.
+    before = asked.filter("word <> ''").groupBy("word").agg(F.avg("opens").alias("share"))
+    scored = counted.filter("seen <> '' and stopped > 0").withColumnRenamed("seen", "word").join(before, "word").join(F.broadcast(whole))
+    known = scored.filter((F.col("share") <= SHARE) & (collocation(F.col("stopped"), F.col("bare"), F.col("all_stopped"), F.col("everything"), F.length("word")) >= LEAST)).select("word")
+    undone = asked.join(known, "word", "left_semi").select("key", "at").union(asked.filter("word = '' and opens = 0").select("key", "at"))
+    back = undone.groupBy("key").agg(F.collect_set("at").alias("back"))
+    cut = done.filter("key is not null").select("key", "lo", "hi", "at").join(back, "key", "left")
+    # A cut taken back joins the sentences before and after it: the one ends, the other starts no more.
+    last = F.size("lo") - 1
+    ends = F.transform("lo", lambda start, i: (i == last) | ~F.exists("back", lambda x: (x >= F.col("hi")[i]) & (x <= F.col("lo")[i + 1])))
+    joined = cut.withColumn("ends", F.when(F.col("back").isNull(), F.transform("lo", lambda x: F.lit(True))).otherwise(ends))
+    spans = F.arrays_zip(
+        F.filter("lo", lambda x, i: (i == 0) | F.col("ends")[F.greatest(i - 1, F.lit(0))]).alias("start_pos"),
+        F.filter("hi", lambda x, i: F.col("ends")[i]).alias("end_pos"),
+    )
+    return joined.select(F.col("key").alias(key), F.inline(spans))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,3 +72,24 @@ def test_capitals_are_counted_over_the_whole_text():
     capitals, plain = "MOTION TO DISMISS DENIED. " * 200, "The motion to dismiss is denied. " * 200
     assert not Lexicon(capitals + plain).shouting and Lexicon(capitals).shouting
     assert Lexicon("The motion is denied. " * 200 + capitals * 10).shouting and not Lexicon("12 . 3").shouting
+
+
+def test_corpus_learns_abbreviations_that_no_document_proves(spark):
+    """An invented abbreviation before a capital: open in each document, plain over the corpus. A word also used bare is none."""
+    rows = [(i, f"It cited Vukov. Rev. Code § {i}. The rest is moot. He saw the quill. Nothing else moved in a quill so long.") for i in range(30)]
+    rows += [(100, "It cited Vukov. Rev. Code § 3."), (101, "He filed at the Wexby. Nothing came of it.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    text = dict(rows)
+    out = {}
+    for r in split_sentences(df, "doc_id", "text").orderBy("doc_id", "start_pos").collect():
+        out.setdefault(r.doc_id, []).append(text[r.doc_id][r.start_pos : r.end_pos])
+    assert out[100] == ["It cited Vukov. Rev. Code § 3."]
+    assert out[3][:2] == ["It cited Vukov. Rev. Code § 3.", "The rest is moot."] and len(out[3]) == 4
+    assert out[101] == ["He filed at the Wexby.", "Nothing came of it."]
+
+
+def test_no_bound_on_words_headings_or_distance():
+    word = "Quintessentialabbrev" * 4
+    assert len(cut(f"See {word}. 4 and {word}. 5, then stop. It ends.")) == 2
+    heading = "VERY LONG HEADING " * 12
+    assert cut(f"They lost.\n\n{heading.strip()}\n\nThe rate rose again.") == ["They lost.", heading.strip(), "The rate rose again."]

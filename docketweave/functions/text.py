@@ -134,10 +134,11 @@ def year_of(c: Column) -> Column:
 
 
 def iso_date(c: Column) -> Column:
-    """yyyy-mm-dd from that form or from mm/dd/yyyy; null for others."""
-    us = F.regexp_extract(c, r"^([0-9]{2})/([0-9]{2})/([0-9]{4})$", 0) != ""
-    flipped = F.concat(F.substring(c, 7, 4), F.lit("-"), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 4, 2))
-    return F.when(us, flipped).when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c)
+    """yyyy-mm-dd from yyyy-m-d or m/d/yyyy, months and days padded; null for others."""
+    us, iso = r"^\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\s*$", r"^\s*([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})\s*$"
+    part = lambda p, i: F.lpad(F.regexp_extract(c, p, i), 4 if (p, i) in ((us, 3), (iso, 1)) else 2, "0")
+    dashed = lambda p, *order: F.concat(part(p, order[0]), F.lit("-"), part(p, order[1]), F.lit("-"), part(p, order[2]))
+    return F.when(c.rlike(us), dashed(us, 3, 1, 2)).when(c.rlike(iso), dashed(iso, 1, 2, 3))
 
 
 def office_geo(address: Column) -> Column:

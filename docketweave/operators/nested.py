@@ -12,11 +12,13 @@ Defined results
   (place 0), or as a string that itself holds JSON; null and scalar places are no objects but
   keep their number.
 - A repeated key counts by its last value. Very long texts need only a buffer of their own size.
+- Nesting of any depth is read; a text that is nested too deep for the JSON parser is judged by its grammar.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -161,10 +163,46 @@ class StructuralIndex:
         return out
 
 
+_TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null))')
+
+
+def well_formed(text: str) -> bool:
+    """Whether a text is JSON, at any depth of nesting: one pass over its tokens with a stack of open brackets."""
+    stack: list[str] = []
+    # What may come next: a value (v), a value or ] (a), a key or } (k), a key (K), a colon (:), a comma or the end of the container (,), nothing (end).
+    state, at = "v", 0
+    while m := _TOKEN.match(text, at):
+        mark, string, scalar = m.groups()
+        at = m.end()
+        if mark in ("{", "[") and state in "va":
+            stack.append(mark)
+            state = "k" if mark == "{" else "a"
+            continue
+        if mark == "}" and stack and stack[-1] == "{" and state in "k,":
+            stack.pop()
+        elif mark == "]" and stack and stack[-1] == "[" and state in "a,":
+            stack.pop()
+        elif mark == "," and state == "," and stack:
+            state = "K" if stack[-1] == "{" else "v"
+            continue
+        elif mark == ":" and state == ":":
+            state = "v"
+            continue
+        elif string and state in "kK":
+            state = ":"
+            continue
+        elif not ((string or scalar) and state in "va"):
+            return False
+        state = "," if stack else "-"
+    return state == "-" and not text[at:].strip(" \t\n\r")
+
+
 def _readable(text: bytes) -> bool:
     try:
         json.loads(text)
-    except (ValueError, RecursionError):
+    except RecursionError:
+        return well_formed(text.decode("utf-8", "surrogatepass"))
+    except ValueError:
         return False
     return True
 
@@ -179,7 +217,7 @@ class _Walk:
         index = StructuralIndex(docs)
         for d, c in enumerate(index.roots().tolist()):
             if c >= 0:
-                self._document(index, d, c, 0)
+                self._document(index, d, c)
         while self.deferred:  # lists held in strings are indexed again, all of one level at once
             todo, self.deferred = self.deferred, []
             index = StructuralIndex([t[3] for t in todo])
@@ -188,20 +226,22 @@ class _Walk:
                 if c >= 0:
                     self._container(index, d, kind, parent, c, sub)
 
-    def _document(self, index: StructuralIndex, d: int, c: int, hops: int) -> None:
-        if not index.is_object[c]:
-            for v in range(index.first[c], index.first[c + 1]):
-                if index.child[v] >= 0 and hops < 8:
-                    self._document(index, d, int(index.child[v]), hops + 1)
-            return
-        members = index.members(c)
-        if not any(name.encode() in members for name in self.tree):
-            for name in ENVELOPES:
-                v = members.get(name, -1)
-                if v >= 0 and index.child[v] >= 0 and hops < 8:
-                    self._document(index, d, int(index.child[v]), hops + 1)
-                    return
-        self._lists(index, d, -1, members, self.tree)
+    def _document(self, index: StructuralIndex, d: int, c: int) -> None:
+        todo = [c]  # containers still to look through, the next one last
+        while todo:
+            c = todo.pop()
+            if not index.is_object[c]:
+                inner = index.child[index.first[c] : index.first[c + 1]]
+                todo += inner[inner >= 0][::-1].tolist()
+                continue
+            members = index.members(c)
+            if not any(name.encode() in members for name in self.tree):
+                held = (members.get(name, -1) for name in ENVELOPES)
+                v = next((v for v in held if v >= 0 and index.child[v] >= 0), -1)
+                if v >= 0:
+                    todo.append(int(index.child[v]))
+                    continue
+            self._lists(index, d, -1, members, self.tree)
 
     def _lists(self, index: StructuralIndex, d: int, parent: int, members: dict[bytes, int], tree: dict) -> None:
         for name, (kind, sub) in tree.items():

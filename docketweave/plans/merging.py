@@ -17,7 +17,7 @@ RULES: dict[str, tuple[str, str, list[str]]] = {
     "judge_name_email": ("judge", "true", ["normalized_name", "email"]),
     "judge_nid": ("judge", "true", ["fjc_nid"]),
     "firm_name_domain_court": ("firm", "true", ["normalized_name", "domain", "court"]),
-    "firm_name_domain": ("firm", "domain not like 'mail%'", ["normalized_name", "domain"]),
+    "firm_name_domain": ("firm", "true", ["normalized_name", "domain"]),
     "firm_name_address": ("firm", "true", ["normalized_name", "address"]),
     "firm_name_phone": ("firm", "true", ["normalized_name", "phone"]),
     "firm_name_court": ("firm", "token_count >= 2", ["normalized_name", "court"]),
@@ -27,8 +27,21 @@ RULES: dict[str, tuple[str, str, list[str]]] = {
 }
 
 
+#: Rules that need an identifying domain, and from how many firms (by the first word of the name) a domain identifies none.
+OWN_DOMAIN, SHARED_BY = {"firm_name_domain"}, 5
+
+
+def shared_domains(mentions: DataFrame, firms: int = SHARED_BY) -> DataFrame:
+    """(domain): domains that differently named firms use, such as those of mail providers; learnt from all mentions."""
+    first = T.tokens(F.col("normalized_name"))[0]
+    rows = mentions.filter("entity_type = 'firm'").select(T.nz("domain").alias("domain"), first.alias("first")).na.drop()
+    return rows.groupBy("domain").agg(F.count_distinct("first").alias("firms")).filter(F.col("firms") >= firms).select("domain")
+
+
 def rule_edges(mentions: DataFrame, rule: str) -> DataFrame:
     kind, condition, key = RULES[rule]
+    if rule in OWN_DOMAIN:
+        mentions = mentions.join(shared_domains(mentions), "domain", "left_anti")
     rows = mentions.filter((F.col("entity_type") == kind) & F.expr(condition)).select("mention_id", *[T.nz(F.col(k).cast("string")).alias(k) for k in key])
     return star_edges(rows.na.drop(subset=key), key)
 
@@ -46,8 +59,24 @@ def alias_edges(mentions: DataFrame, groups: dict[str, str]) -> DataFrame:
     return star_edges(rows, ["alias_group"])
 
 
-#: Alias groups shipped as a sample: name -> group.
-ALIASES = {"sethabach silbam mutual indemnity": "silbam", "silbam mutual indemnity": "silbam", "sethabach silbam": "silbam"}
+#: "Name (f/k/a Other)" and the like: both names are one entity.
+ALIAS = r"(?i)^(.*?)[\s,(]+(?:f/k/a|a/k/a|d/b/a)\s+(.*?)\)?\s*$"
+
+
+def stated_aliases(mentions: DataFrame) -> DataFrame:
+    """(name, alias_group): normalised names that a raw name states to be one, grouped under the smaller of the two."""
+    plain = lambda i: T.squeeze(F.regexp_replace(F.lower(F.regexp_extract("raw_name", ALIAS, i)), r"[^a-z0-9]+", " "))
+    pairs = mentions.filter(F.col("raw_name").rlike(ALIAS)).select(plain(1).alias("a"), plain(2).alias("b")).filter("a <> '' and b <> '' and a <> b").distinct()
+    grouped = connected_components(pairs, "a", "b")
+    return grouped.select(F.col("id").alias("name"), F.col("component").alias("alias_group"))
+
+
+def alias_group_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of one court whose names are stated to be aliases somewhere in it are linked to the smallest."""
+    m = read(spark, sf_dir, "mentions").filter("entity_type <> 'judge' and court is not null")
+    plain = T.squeeze(F.regexp_replace(F.lower("raw_name"), r"[^a-z0-9]+", " "))
+    rows = m.select("mention_id", "court", plain.alias("name")).join(stated_aliases(m), "name")
+    return star_edges(rows, ["court", "alias_group"])
 
 
 def _rule_query(rule: str):
@@ -124,7 +153,8 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f"tier0_{rule}": _rule_query(rule) for rule in RULES} | {
     "tier0_party_name_form": lambda spark, sf_dir: form_edges(read(spark, sf_dir, "mentions")),
-    "alias_group_merge": lambda spark, sf_dir: alias_edges(read(spark, sf_dir, "mentions"), ALIASES),
+    "alias_group_merge": alias_group_merge,
+    "shared_domains": lambda spark, sf_dir: shared_domains(read(spark, sf_dir, "mentions")),
     "prefix_span": prefix_span,
     "truncated_span": truncated_span,
     "short_anchor": short_anchor,
@@ -140,9 +170,15 @@ def _star(key: list[str], rows: str) -> str:
     SELECT DISTINCT root AS mention_id_a, mention_id AS mention_id_b FROM k WHERE root <> mention_id"""
 
 
+_SHARED = f"""SELECT domain FROM (SELECT nullif(trim(domain), '') AS domain, string_split(trim(regexp_replace(lower(normalized_name), '\\s+', ' ', 'g')), ' ')[1] AS first FROM mentions WHERE entity_type = 'firm')
+    WHERE domain IS NOT NULL AND first IS NOT NULL AND first <> '' GROUP BY domain HAVING count(DISTINCT first) >= {SHARED_BY}"""
+
+
 def _rows(rule: str) -> str:
     kind, condition, key = RULES[rule]
     value = lambda c: f"nullif(trim(CAST({c} AS VARCHAR)), '')"
+    if rule in OWN_DOMAIN:
+        condition += f" AND domain NOT IN ({_SHARED})"
     return f"SELECT mention_id, {', '.join(f'{value(c)} AS {c}' for c in key)} FROM mentions WHERE entity_type = '{kind}' AND {condition} AND " + " AND ".join(f"{value(c)} IS NOT NULL" for c in key)
 
 
@@ -172,7 +208,16 @@ _JUDGES = "SELECT DISTINCT mention_id, ucid, normalized_name, string_split(norma
 
 SQL = {f"tier0_{rule}": _star(RULES[rule][2], _rows(rule)) for rule in RULES} | {
     "tier0_party_name_form": _form_sql(),
-    "alias_group_merge": _star(["g"], "SELECT mention_id, 'silbam' AS g FROM mentions WHERE normalized_name IN ('sethabach silbam mutual indemnity', 'silbam mutual indemnity', 'sethabach silbam')"),
+    "shared_domains": _SHARED,
+    "alias_group_merge": r"""WITH RECURSIVE m AS (SELECT * FROM mentions WHERE entity_type <> 'judge' AND court IS NOT NULL),
+      p AS (SELECT DISTINCT trim(regexp_replace(lower(regexp_extract(raw_name, 'PATTERN', 1)), '[^a-z0-9]+', ' ', 'g')) AS a, trim(regexp_replace(lower(regexp_extract(raw_name, 'PATTERN', 2)), '[^a-z0-9]+', ' ', 'g')) AS b
+        FROM m WHERE regexp_matches(raw_name, 'PATTERN')),
+      e AS (SELECT a, b FROM p WHERE a <> '' AND b <> '' AND a <> b UNION SELECT b, a FROM p WHERE a <> '' AND b <> '' AND a <> b),
+      reach(name, other) AS (SELECT a, a FROM e UNION SELECT reach.name, e.b FROM reach JOIN e ON e.a = reach.other),
+      g AS (SELECT name, min(other) AS alias_group FROM reach GROUP BY name),
+      r AS (SELECT mention_id, court, alias_group FROM m JOIN g ON g.name = trim(regexp_replace(lower(raw_name), '[^a-z0-9]+', ' ', 'g'))),
+      k AS (SELECT mention_id, min(mention_id) OVER (PARTITION BY court, alias_group) AS root FROM r)
+      SELECT DISTINCT root AS mention_id_a, mention_id AS mention_id_b FROM k WHERE root <> mention_id""".replace("PATTERN", ALIAS),
     "prefix_span": f"WITH j AS ({_JUDGES}) SELECT DISTINCT a.mention_id AS mention_id_a, b.mention_id AS mention_id_b FROM j a JOIN j b ON a.ucid = b.ucid AND len(a.t) = 2 AND len(b.t) = 3 AND length(a.t[1]) >= 5 AND a.t[1] = b.t[1] AND a.t[2] = b.t[2]",
     "truncated_span": f"WITH j AS ({_JUDGES}) SELECT DISTINCT a.mention_id AS mention_id_a, b.mention_id AS mention_id_b FROM j a JOIN j b ON a.ucid = b.ucid AND len(a.t) = 2 AND len(b.t) >= 3 AND list_contains(b.t, a.t[1]) AND list_contains(b.t, a.t[2])",
     "short_anchor": f"""WITH j AS ({_JUDGES}), s AS (SELECT DISTINCT mention_id, ucid, normalized_name AS token FROM j WHERE normalized_name NOT LIKE '% %' AND length(normalized_name) >= 2),

@@ -90,8 +90,7 @@ SQL = {
     "email_domain": "SELECT mention_id, CASE WHEN contains(email, '@') THEN nullif(trim(lower(string_split(email, '@')[-1])), '') END AS email_domain FROM mentions",
     "contact_norm": rf"""SELECT mention_id, CASE WHEN length({_PHONE11}) >= 7 THEN {_PHONE11} END AS phone_key, nullif(trim(regexp_replace(lower(trim(domain)), '^www\.', '')), '') AS domain_key,
         CASE WHEN length({_ADDR}) >= 8 THEN {_ADDR} END AS address_key FROM mentions""",
-    "iso_dates": """SELECT mention_id, CASE WHEN regexp_matches(filing_date, '^[0-9]{2}/[0-9]{2}/[0-9]{4}$') THEN concat(substr(filing_date, 7, 4), '-', substr(filing_date, 1, 2), '-', substr(filing_date, 4, 2))
-        WHEN regexp_matches(filing_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN filing_date END AS filed_on, TRY_CAST(nullif(regexp_extract(filing_date, '((?:19|20)[0-9]{2})', 1), '') AS INTEGER) AS filed_year FROM mentions""",
+    "iso_dates": """SELECT mention_id, coalesce(strftime(try_strptime(trim(filing_date), '%m/%d/%Y'), '%Y-%m-%d'), strftime(try_strptime(trim(filing_date), '%Y-%m-%d'), '%Y-%m-%d')) AS filed_on, TRY_CAST(nullif(regexp_extract(filing_date, '((?:19|20)[0-9]{2})', 1), '') AS INTEGER) AS filed_year FROM mentions""",
     "office_geo": f"""WITH l AS (SELECT mention_id, list_filter(list_transform(list_reverse(string_split(address, chr(10))), lambda s: regexp_extract(s, '{_GEO}', 0)), lambda s: s <> '')[1] AS line FROM mentions WHERE address IS NOT NULL)
         SELECT mention_id, CASE WHEN line IS NOT NULL THEN concat(lower(regexp_extract(line, '{_GEO}', 1)), '|', regexp_extract(line, '{_GEO}', 2)) END AS geo FROM l""",
     "mention_ids": """SELECT mention_id, concat('mnt_', substr(sha1(array_to_string([coalesce(ucid, ''), coalesce(docket_source, ''), coalesce(raw_name, ''), coalesce(CAST(party_enum AS VARCHAR), ''), coalesce(CAST(judge_enum AS VARCHAR), ''),

@@ -61,7 +61,6 @@ def candidate_pairs(mentions: DataFrame) -> DataFrame:
     m = m.groupBy("court", "normalized_name").agg(F.min("raw_name").alias("raw_name"), F.min("party_role").alias("role"), F.min("form").alias("form"))
     t = T.tokens(F.col("normalized_name"))
     m = m.withColumn("lead", t[0]).withColumn("gen", F.array_join(F.filter(t, lambda x: x.isin(T.GENERATIONS)), ","))
-    m = m.filter("length(lead) > 3")
     side = lambda s: m.select("court", "lead", *[F.col(c).alias(f"{c}_{s}") for c in ("normalized_name", "role", "form", "gen")])
     return side("a").join(side("b"), ["court", "lead"]).filter("normalized_name_a < normalized_name_b")
 
@@ -180,7 +179,7 @@ def shared_case_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Party names that share a surname in one court and a judge between their cases."""
     m = read(spark, sf_dir, "mentions").filter("ucid is not null and normalized_name is not null")
     judges = m.filter("entity_type = 'judge'").select("ucid", F.col("normalized_name").alias("judge")).distinct()
-    p = m.filter("entity_type = 'party' and token_count between 2 and 4").select("court", T.surname(F.col("normalized_name")).alias("last"), "normalized_name", "ucid").distinct().join(judges, "ucid").select("court", "last", "judge", "normalized_name").distinct()
+    p = m.filter("entity_type = 'party'").select("court", T.surname(F.col("normalized_name")).alias("last"), "normalized_name", "ucid").distinct().join(judges, "ucid").select("court", "last", "judge", "normalized_name").distinct()
     a, b = p.withColumnRenamed("normalized_name", "name_a"), p.withColumnRenamed("normalized_name", "name_b")
     return a.join(b, ["court", "last", "judge"]).filter("name_a < name_b").groupBy("court", "name_a", "name_b").agg(F.count_distinct("judge").alias("shared_judges"))
 
@@ -209,7 +208,7 @@ def _candidates_sql() -> str:
     return f"""WITH m AS (SELECT court, normalized_name, min(party_role) AS role, min({_form_case()}) AS form FROM mentions WHERE entity_type = 'party' AND normalized_name IS NOT NULL GROUP BY court, normalized_name),
       n AS (SELECT *, {_TOK}[1] AS lead, array_to_string(list_filter({_TOK}, lambda t: t IN ('jr', 'sr', 'ii', 'iii', 'iv')), ',') AS gen FROM m),
       c AS (SELECT a.court, a.normalized_name AS normalized_name_a, b.normalized_name AS normalized_name_b, a.role AS role_a, b.role AS role_b, a.form AS form_a, b.form AS form_b, a.gen AS gen_a, b.gen AS gen_b
-        FROM n a JOIN n b ON a.court = b.court AND a.lead = b.lead AND a.normalized_name < b.normalized_name WHERE length(a.lead) > 3) """
+        FROM n a JOIN n b ON a.court = b.court AND a.lead = b.lead AND a.normalized_name < b.normalized_name) """
 
 
 SQL = {
@@ -234,6 +233,6 @@ SQL = {
     "match_bar": _facts_sql() + "SELECT DISTINCT decision_id FROM t WHERE decision = 'MATCH' AND NOT (same_email OR same_phone OR (same_name AND same_court))",
     "abstain_rails": _facts_sql() + "SELECT DISTINCT decision_id, confidence, CASE WHEN confidence IS NULL OR confidence < 60 THEN 'UNCERTAIN' WHEN same_case AND NOT same_surname AND decision = 'MATCH' THEN 'NO_MATCH' ELSE decision END AS railed FROM t",
     "shared_case_pairs": f"""WITH m AS (SELECT * FROM mentions WHERE ucid IS NOT NULL AND normalized_name IS NOT NULL), j AS (SELECT DISTINCT ucid, normalized_name AS judge FROM m WHERE entity_type = 'judge'),
-      p AS (SELECT DISTINCT court, {_LAST} AS l, judge, normalized_name FROM m JOIN j USING (ucid) WHERE entity_type = 'party' AND token_count BETWEEN 2 AND 4)
+      p AS (SELECT DISTINCT court, {_LAST} AS l, judge, normalized_name FROM m JOIN j USING (ucid) WHERE entity_type = 'party')
       SELECT a.court, a.normalized_name AS name_a, b.normalized_name AS name_b, count(DISTINCT a.judge) AS shared_judges FROM p a JOIN p b ON a.court = b.court AND a.l = b.l AND a.judge = b.judge AND a.normalized_name < b.normalized_name GROUP BY ALL""",
 }

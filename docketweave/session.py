@@ -32,13 +32,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where that is unset."""
+    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where that is unset and all runs on this machine."""
     sc = spark.sparkContext
     if configured := sc.getConf().get("spark.checkpoint.dir"):
         return configured
     if chosen := sc._jsc.sc().getCheckpointDir():
         if chosen.isDefined():
             return chosen.get()
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), f"docketweave-{uuid.uuid4().hex}")
     sc.setCheckpointDir(own)
     return sc._jsc.sc().getCheckpointDir().get()

@@ -18,15 +18,17 @@ PREFIX = {"party": "SP", "firm": "SF", "judge": "SJ"}
 
 
 def entity_key() -> Column:
-    return F.concat_ws("|", "entity_type", "normalized_name")
+    """Firms are told apart by their office class, people and other parties by their case."""
+    scope = F.when(F.col("entity_type") == "firm", F.col("office_class")).otherwise(F.col("case_key"))
+    return F.concat_ws("|", "entity_type", "normalized_name", scope)
 
 
 def read_registry(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Registry rows of all batches, or of those before a batch."""
-    try:
-        parts = spark.read.schema(REGISTRY + ", batch int").parquet(path)
-    except Exception:  # the folder does not exist before the first batch
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):  # so before the first batch; any other fault is raised
         return spark.createDataFrame([], REGISTRY + ", batch int")
+    parts = spark.read.schema(REGISTRY + ", batch int").parquet(path)
     return parts if before is None else parts.filter(F.col("batch") < before)
 
 

@@ -91,3 +91,31 @@ def test_frame_with_clashing_columns(spark):
     assert {(r.case_key, r.node_kind, r.parent_index, r.item_index) for r in out} == {(1, *e) for e in expected(CASES[0])}
     assert next(r.fields for r in out if r.node_kind == "party")["name"] == "A"
     assert flatten_json(df.limit(0), "case_key", "case_json").count() == 0
+
+
+def test_any_depth_of_nesting():
+    from docketweave.operators.nested import CASE_TREE, walk_batch, well_formed
+
+    doc = '{"parties": [{"name": "A"}]}'
+    wrapped = "[" * 40 + doc + "]" * 40
+    inside = '{"case": ' * 30 + doc + "}" * 30
+    deep = '{"parties": [{"name": "A"}], "x": ' + "[" * 20_000 + "]" * 20_000 + "}"
+    for text in (wrapped, inside, deep):
+        assert [r[:4] for r in walk_batch([text], CASE_TREE)] == [(0, "party", -1, 0)]
+    assert walk_batch([deep[:-1], deep.replace("]", "}", 1)], CASE_TREE) == []
+
+
+def test_grammar_equals_the_parser():
+    import json
+
+    from docketweave.operators.nested import well_formed
+
+    good = ['{"a": [1, -2.5e3, true, null, "x\\u00e9\\n"], "b": {}}', " [] ", "0", '"s"', '{"a":{"b":[[]]}}']
+    bad = ["", "{", "[1,]", '{"a"}', '{"a":1,}', "[1 2]", "01", "{1:2}", '"\\x"', "[]]", "nul", '{"a":1 "b":2}', "[,1]", '"\n"', ":"]
+    for t in good + bad:
+        try:
+            json.loads(t)
+            want = True
+        except ValueError:
+            want = False
+        assert well_formed(t) == want, t

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docketweave.operators import nested_queries
-from docketweave.plans import clustering, evaluation, extraction, merging, normalisation, repair, similarity, vetoes
+from docketweave.plans import cleaning, clustering, evaluation, extraction, merging, normalisation, repair, similarity, vetoes
 
-MODULES = [nested_queries, normalisation, extraction, merging, similarity, clustering, evaluation, repair, vetoes]
+MODULES = [nested_queries, normalisation, extraction, merging, similarity, clustering, evaluation, repair, vetoes, cleaning]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

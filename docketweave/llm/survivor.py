@@ -3,11 +3,12 @@
 Values are read into parts; the parts a group is known by are the most attested ones, so a complete value has all of
 them, an undamaged one spells them alike, and a correctly written one has nothing else. Among equals the more
 trusted source wins, then the more current row. Currency comes from the row's date. Where dates
-are missing, value-transition precedence is learnt from all dated rows (value a was followed directly by value b), and
-an undated row ranks with the latest dated value of its group that its own value is, or is known to follow in one
-step. Precedence is not closed over several steps, and a group's undated values are not ordered topologically.
+are missing, value-transition precedence is learnt from all dated rows (value a was followed directly by value b) and closed
+over any number of steps; it makes each group's values a partial order. An undated row ranks with the latest dated value of its
+group that its value is or follows, and among undated values of one day the topologically latest win, also in
+groups that have no date at all.
 
-Only grouped aggregates are used, so one group may hold any share of the rows. Defined results: null, blank and NA values
+Only aggregates and joins over different values are used, and a window over the different dated values of a group and field. Defined results: null, blank and NA values
 are none; a field without any value has no row; groups of fewer than two present members are left out; repeated rows
 count once; ties go to the smallest key; a source without a trust rank ranks below all others.
 """
@@ -104,18 +105,57 @@ def iso_date(c: str) -> Column:
     )
 
 
-def dated(rows: DataFrame) -> DataFrame:
-    """rows(grp, field_name, key, value, day, ...) with currency: the day, or for undated rows the inferred one."""
-    known = rows.filter("day is not null").groupBy("grp", "field_name", "value").agg(F.max("day").alias("day"))
-    undated = rows.filter("day is null").select("grp", "field_name", "value").distinct()
+def precedence(known: DataFrame) -> DataFrame:
+    """(field_name, earlier, value): value transitions learnt from all dated rows, value directly after earlier in more groups than before it."""
     order = Window.partitionBy("grp", "field_name").orderBy("day", "value")
     steps = known.withColumn("after", F.lead("value").over(order)).filter("after is not null").groupBy("field_name", "value", "after").agg(F.count("*").alias("n"))
     back = steps.select("field_name", F.col("after").alias("value"), F.col("value").alias("after"), F.col("n").alias("m"))
-    precedes = steps.join(back, ["field_name", "value", "after"], "left").filter("n > coalesce(m, 0)").select("field_name", F.col("value").alias("earlier"), F.col("after").alias("value"))
+    return steps.join(back, ["field_name", "value", "after"], "left").filter("n > coalesce(m, 0)").select("field_name", F.col("value").alias("earlier"), F.col("after").alias("value"))
+
+
+def partial_orders(values: DataFrame, precedes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(grp, field_name, earlier, value): the learnt precedence of each group's own values, closed over any number of steps.
+
+    Steps through values that the group lacks count too: the learnt pairs are closed first, by doubling paths until none is
+    new, over values that some undated group has or that lie between such.
+    """
+    closed = scratch.table(precedes.distinct())
+    n = closed.count()
+    while n:
+        on = closed.select("field_name", F.col("value").alias("via"), F.col("earlier").alias("first"))
+        longer = on.join(closed.select("field_name", F.col("earlier").alias("via"), "value"), ["field_name", "via"]).select("field_name", F.col("first").alias("earlier"), "value")
+        after = scratch.table(closed.union(longer).filter("earlier <> value").distinct())
+        more = after.count()
+        scratch.drop(closed)
+        closed = after
+        if more == n:
+            break
+        n = more
+    mine = values.select("grp", "field_name", "value").distinct()
+    return mine.join(closed, ["field_name", "value"]).join(mine.withColumnRenamed("value", "earlier"), ["grp", "field_name", "earlier"]).select("grp", "field_name", "earlier", "value")
+
+
+def dated(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows(grp, field_name, key, value, day, ...) with currency and place: rows of greater currency, then of greater place, are later.
+
+    currency is the day, or for an undated row the latest day of a value of its group that is its own or that it follows. place is
+    the topological place of an undated value in its group's partial order: less the number of values that follow it
+    and that it does not follow itself, so the topologically latest values have 0.
+    """
+    undated = rows.filter("day is null").select("grp", "field_name", "value").distinct()
+    if undated.isEmpty():
+        return rows.withColumn("currency", F.col("day")).withColumn("place", F.lit(0)).drop("day")
+    known = scratch.table(rows.filter("day is not null").groupBy("grp", "field_name", "value").agg(F.max("day").alias("day")))
+    values = rows.join(undated.select("grp", "field_name").distinct(), ["grp", "field_name"]).select("grp", "field_name", "value").distinct()
+    orders = scratch.table(partial_orders(values, precedence(known), scratch))
     same = undated.join(known, ["grp", "field_name", "value"]).select("grp", "field_name", "value", "day")
-    later = undated.join(precedes, ["field_name", "value"]).join(known.withColumnRenamed("value", "earlier"), ["grp", "field_name", "earlier"]).select("grp", "field_name", "value", "day")
+    later = orders.join(known.withColumnRenamed("value", "earlier"), ["grp", "field_name", "earlier"]).join(undated, ["grp", "field_name", "value"]).select("grp", "field_name", "value", "day")
     inferred = same.union(later).groupBy("grp", "field_name", "value").agg(F.max("day").alias("inferred"))
-    return rows.join(inferred, ["grp", "field_name", "value"], "left").withColumn("currency", F.coalesce("day", "inferred", F.lit(0))).drop("inferred", "day")
+    both = orders.select("grp", "field_name", F.col("value").alias("earlier"), F.col("earlier").alias("value"), F.lit(1).alias("back"))
+    strictly = orders.join(both, ["grp", "field_name", "earlier", "value"], "left").filter("back is null")
+    place = strictly.groupBy("grp", "field_name", F.col("earlier").alias("value")).agg((-F.count_distinct(strictly["value"])).cast("int").alias("followers"))
+    out = rows.join(inferred, ["grp", "field_name", "value"], "left").join(place, ["grp", "field_name", "value"], "left")
+    return out.withColumn("currency", F.coalesce("day", "inferred", F.lit(0))).withColumn("place", F.when(F.col("day").isNull(), F.coalesce("followers", F.lit(0))).otherwise(0)).drop("day", "inferred", "followers")
 
 
 def survivors(members: DataFrame, trust: DataFrame) -> DataFrame:
@@ -156,7 +196,7 @@ def survivors(members: DataFrame, trust: DataFrame) -> DataFrame:
     entry = lambda f: F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value"), F.coalesce(good[f], F.lit(False)).alias("good"))
     rows = judged.select("grp", "key", "day", F.coalesce("trust", F.lit(-1)).alias("trust"), F.explode(F.array(*[entry(f) for f in FIELDS])).alias("e"))
     rows = rows.select("grp", "key", "day", "trust", "e.*").filter("value is not null")
-    best = dated(rows).groupBy("grp", "field_name").agg(F.min(F.struct((~F.col("good")).alias("bad"), (-F.col("trust")).alias("t"), (-F.col("currency")).alias("c"), "key")).alias("b"))
+    best = dated(rows, scratch).groupBy("grp", "field_name").agg(F.min(F.struct((~F.col("good")).alias("bad"), (-F.col("trust")).alias("t"), (-F.col("currency")).alias("c"), (-F.col("place")).alias("p"), "key")).alias("b"))
     return best.select("grp", "field_name", F.col("b.key").alias("key"))
 
 

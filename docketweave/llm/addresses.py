@@ -3,15 +3,15 @@
 An address text is read into parts (number, direction, street, street word, unit, box, station, town,
 state, zip). Candidates come from MinHash bands over its token and q-gram shingles, each shingle joined with
 the house or box number, as another number is another place; an exact join on that number and the street's bigrams adds
-the pairs that the bands miss (slipped_pairs). A candidate pair is verified by
-affine-gap alignment of the two token sequences: a run of left-out tokens costs one opening and little
-more, abbreviations cost nothing, misspellings cost their edit distance, and different numbers,
-units, directions, street words or towns can't be aligned. Verified links join into buildings by grid
-components; in a building, rows without a unit belong to its unit if it has only one.
+the pairs that the bands miss (slipped_pairs). A candidate pair is decided by the cost of the affine-gap alignment of
+the two token sequences as typed: a run of left-out tokens costs one opening and little more, a short form in place of the word
+that the dictionaries give for it (street words, directions, states, a parameter) little, misspellings their edit distance, and
+different words, numbers or codes more than any pair may cost; a part that both have can't be left out. Verified links join into
+buildings by grid components; in a building, rows without a unit belong to its unit if it has only one.
 
 Defined results: null and blank addresses and texts without a number denote no place and pair with nothing;
-equal texts are one place; the order of lines, case, punctuation, country and NA lines don't matter. Bands that
-hold very many rows are linked to their smallest member of the same exact parts first, so copies don't multiply.
+equal texts are one place; the order of lines, case, punctuation, country and NA lines don't matter. Texts reduce to different
+texts and then to different parts before any pairing, and bands that hold very many of these are split, every pair of pieces joined.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketweave.llm.groups import components
+from docketweave.operators.skew import group_pairs, split_sides
 from docketweave.session import Scratch, read
 
 # Street words, directions, ordinals and states with their usual short forms.
@@ -117,6 +118,7 @@ def parse(text: str | None) -> dict[str, str] | None:
     if not text:
         return None
     out = dict.fromkeys(PARTS, "")
+    typed: dict[str, str] = {}
     lines = [s for s in regex.split(r"[\n;]", text) if not _BLANK.match(s)]
     lines = [s for s in lines if not (_BUILDING.match(s) and len(lines) > 1)]
     s = " , ".join(lines)
@@ -175,6 +177,7 @@ def parse(text: str | None) -> dict[str, str] | None:
     if options:
         before_zip = [o for o in options if zip_at >= 0 and tokens[o[0]][1] < zip_at]
         i, width, out["state"] = (before_zip or options)[-1]
+        typed["state"] = " ".join(words[i : i + width])
         for k in range(i, i + width):
             used[k] = True
     start = next((i for i, w in enumerate(words) if not used[i] and regex.fullmatch(r"[\dOoIl]*\d[\dOoIl]*", w)), -1) if not out["box"] else -1
@@ -184,6 +187,7 @@ def parse(text: str | None) -> dict[str, str] | None:
         i = start + 1
         while i < len(words) and segment[i] == segment[start] and words[i] in DIRECTIONS and not used[i] and not out["direction"]:
             out["direction"] = DIRECTIONS[words[i]]
+            typed["direction"] = words[i]
             used[i] = True
             i += 1
         name: list[str] = []
@@ -192,6 +196,7 @@ def parse(text: str | None) -> dict[str, str] | None:
             used[i] = True
             if kind:
                 out["word"] = kind
+                typed["word"] = words[i]
                 i += 1
                 break
             name.append(letters(words[i]))
@@ -201,34 +206,48 @@ def parse(text: str | None) -> dict[str, str] | None:
     out["town"] = " ".join(town)
     if not out["box"] and not (out["number"] and out["street"]):
         return None
+    out["typed"] = "|".join(f"{k}={v}" for k, v in typed.items())
     return out
 
 
 def tokens_of(p: dict[str, str]) -> list[tuple[str, str]]:
-    """The canonical token sequence: (part, token)."""
-    return [(k, t) for k in PARTS for t in (p[k].split() if k == "town" else [p[k]]) if t]
+    """The token sequence of the building: (part, token as typed), a town as one token."""
+    typed = dict(x.split("=", 1) for x in p["typed"].split("|") if x)
+    return [(k, typed.get(k) or p[k].replace(" ", "")) for k in PARTS if p[k] and k != "unit"]
 
 
-# Parts whose tokens must agree once both sides have them.
-EXACT = {"number", "direction", "word", "box", "state", "zip"}
-OPEN_COST, EXTEND_COST, NEVER, ACCEPT = 0.6, 0.15, 99.0, 2.4
+#: Costs of an alignment; a pair is one building up to ACCEPT. BAR alone is more.
+OPEN_COST, EXTEND_COST, SHORT_COST, BAR, ACCEPT = 0.6, 0.15, 0.05, 3.0, 2.6
+#: What dictionaries say a typed token stands for, by part.
+MEANING = {"word": street_word, "direction": DIRECTIONS.get, "state": lambda t: STATES.get(t.replace(" ", "_"), t if t in CODES else None)}
 
 
 @lru_cache(1 << 18)
 def substitution(part: str, a: str, b: str) -> float:
+    """Cost of one typed token for another of the same part."""
     if a == b:
         return 0.0
-    if part in EXACT or part == "unit":
-        return NEVER
+    if part in MEANING:
+        x, y = MEANING[part](a), MEANING[part](b)
+        if x is None or x != y:
+            return BAR
+        return SHORT_COST + (0.0 if a in WORD_OF and b in WORD_OF or part != "word" else 0.1)
+    if part in ("number", "box", "zip"):
+        return BAR
+    if part == "town":
+        d = within(a, b, 3)
+        return 0.3 * d if d <= 2 else 2.1 if d == 3 else BAR
     most = 1 if max(len(a), len(b)) <= 5 else 2 if max(len(a), len(b)) <= 9 else 3
     d = within(a, b, most)
-    return NEVER if d > most else 0.5 * d
+    return BAR if d > most else 0.5 * d
 
 
 def align(a: list[tuple[str, str]], b: list[tuple[str, str]]) -> float:
-    """Least cost of turning one sequence into the other; a gap costs OPEN_COST and EXTEND_COST a token more."""
+    """Least cost of turning one sequence into the other. A gap costs OPEN_COST and EXTEND_COST a token more; the number or
+    box, and parts that both sequences have, cost BAR to leave out."""
     n, m = len(a), len(b)
-    big = NEVER * 10
+    kept = {p for p, _ in a} & {p for p, _ in b} | {"number", "box"}
+    big = 1000.0
     match = [[big] * (m + 1) for _ in range(n + 1)]
     up = [[big] * (m + 1) for _ in range(n + 1)]
     left = [[big] * (m + 1) for _ in range(n + 1)]
@@ -236,33 +255,21 @@ def align(a: list[tuple[str, str]], b: list[tuple[str, str]]) -> float:
     for i in range(n + 1):
         for j in range(m + 1):
             if i:
-                up[i][j] = min(min(match[i - 1][j], left[i - 1][j]) + OPEN_COST, up[i - 1][j] + EXTEND_COST)
+                extra = BAR if a[i - 1][0] in kept else 0.0
+                up[i][j] = extra + min(min(match[i - 1][j], left[i - 1][j]) + OPEN_COST, up[i - 1][j] + EXTEND_COST)
             if j:
-                left[i][j] = min(min(match[i][j - 1], up[i][j - 1]) + OPEN_COST, left[i][j - 1] + EXTEND_COST)
+                extra = BAR if b[j - 1][0] in kept else 0.0
+                left[i][j] = extra + min(min(match[i][j - 1], up[i][j - 1]) + OPEN_COST, left[i][j - 1] + EXTEND_COST)
             if i and j and a[i - 1][0] == b[j - 1][0]:
-                match[i][j] = min(match[i - 1][j - 1], up[i - 1][j - 1], left[i - 1][j - 1]) + substitution(a[i - 1][0], a[i - 1][1], b[j - 1][1])
+                match[i][j] = min(match[i - 1][j - 1], up[i - 1][j - 1], left[i - 1][j - 1]) + substitution(*a[i - 1], b[j - 1][1])
     return min(match[n][m], up[n][m], left[n][m])
 
 
 def same_building(p: dict[str, str], q: dict[str, str]) -> bool:
-    """Whether two parsed addresses agree in all but the unit."""
-    for k in EXACT:
-        if p[k] and q[k] and p[k] != q[k]:
-            return False
-    if bool(p["box"]) != bool(q["box"]):
+    """Whether the alignment of two parsed addresses, units aside, is cheap enough. They need a town or zip code in common to be compared at all."""
+    if not (p["town"] and q["town"]) and not (p["zip"] and q["zip"]):
         return False
-    if p["station"] and q["station"] and substitution("station", p["station"], q["station"]) >= NEVER:
-        return False
-    town = p["town"] and q["town"]
-    if town and within(p["town"].replace(" ", ""), q["town"].replace(" ", ""), 3) > (3 if p["zip"] and p["zip"] == q["zip"] else 2):
-        return False
-    if not town and not (p["zip"] and q["zip"]):
-        return False
-    if p["street"] != q["street"] and substitution("street", p["street"], q["street"]) >= NEVER:
-        return False
-    a = [t for t in tokens_of(p) if t[0] not in ("unit", "town")]
-    b = [t for t in tokens_of(q) if t[0] not in ("unit", "town")]
-    return align(a, b) <= ACCEPT
+    return align(tokens_of(p), tokens_of(q)) <= ACCEPT
 
 
 def shingles(p: dict[str, str]) -> list[str]:
@@ -293,7 +300,8 @@ def bands(p: dict[str, str], count: int = 32, rows: int = 2) -> list[int]:
     return key.astype(np.int64).tolist()
 
 
-_PARSED = "text string, " + ", ".join(f"{k} string" for k in PARTS) + ", bands array<bigint>"
+READ = [*PARTS, "typed"]
+_PARSED = "text string, " + ", ".join(f"{k} string" for k in READ) + ", bands array<bigint>"
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,15 +310,15 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batch["text"]:
             p = parse(t)
             if p:
-                rows.append((t, *(p[k] for k in PARTS), bands(p)))
-        yield pd.DataFrame(rows, columns=["text", *PARTS, "bands"])
+                rows.append((t, *(p[k] for k in READ), bands(p)))
+        yield pd.DataFrame(rows, columns=["text", *READ, "bands"])
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        left = batch[[f"{k}_a" for k in PARTS]].to_numpy(object)
-        right = batch[[f"{k}_b" for k in PARTS]].to_numpy(object)
-        keep = [same_building(dict(zip(PARTS, x)), dict(zip(PARTS, y))) for x, y in zip(left, right)]
+        left = batch[[f"{k}_a" for k in READ]].to_numpy(object)
+        right = batch[[f"{k}_b" for k in READ]].to_numpy(object)
+        keep = [same_building(dict(zip(READ, x)), dict(zip(READ, y))) for x, y in zip(left, right)]
         yield batch.loc[keep, ["a", "b"]]
 
 
@@ -357,17 +365,20 @@ def same_place(df: DataFrame, key: str, text: str) -> DataFrame:
     parsed = scratch.table(rows.filter("text is not null").select("text").distinct().mapInPandas(_parse_batches, _PARSED))
     signature = F.sha2(F.concat_ws("\x1f", *PARTS), 256)
     kept = scratch.table(parsed.withColumn("sig", signature))
-    whole = kept.groupBy("sig").agg(*(F.first(k).alias(k) for k in PARTS), F.first("bands").alias("bands"))
+    whole = kept.groupBy("sig").agg(*(F.first(k).alias(k) for k in READ), F.first("bands").alias("bands"))
     building = F.sha2(F.concat_ws("\x1f", *[k for k in PARTS if k != "unit"]), 256)
     nodes = scratch.table(whole.withColumn("node", building))
-    distinct = nodes.groupBy("node").agg(*(F.first(k).alias(k) for k in PARTS if k != "unit"), F.first("bands").alias("bands")).withColumn("unit", F.lit(""))
+    distinct = nodes.groupBy("node").agg(*(F.first(k).alias(k) for k in READ if k != "unit"), F.first("bands").alias("bands")).withColumn("unit", F.lit(""))
     # Rows of different states are no candidates, so a street name found in every town meets only within its state; rows without one meet all.
     banded = distinct.select("node", "state", F.explode("bands").alias("band"))
-    x, y = banded.select(F.col("node").alias("a"), "state", "band"), banded.select(F.col("node").alias("b"), "state", "band")
-    within_state = x.filter("state <> ''").join(y, ["state", "band"]).filter("a < b").select("a", "b")
-    stateless = x.filter("state = ''").drop("state").join(y.drop("state"), "band").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    sizes = banded.groupBy("band").agg(F.count("*").alias("size"))
+    left, right = split_sides(banded.join(sizes, "band"), F.col("size"), F.col("node"))
+    keys = ["band", "piece_a", "piece_b"]
+    x, y = left.select(F.col("node").alias("a"), "state", *keys), right.select(F.col("node").alias("b"), "state", *keys)
+    within_state = x.filter("state <> ''").join(y, ["state", *keys]).filter("a < b").select("a", "b")
+    stateless = x.filter("state = ''").drop("state").join(y.drop("state"), keys).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = within_state.union(stateless).union(slipped_pairs(distinct)).distinct()
-    side = lambda s: distinct.select(F.col("node").alias(s), *(F.col(k).alias(f"{k}_{s}") for k in PARTS))
+    side = lambda s: distinct.select(F.col("node").alias(s), *(F.col(k).alias(f"{k}_{s}") for k in READ))
     candidates = pairs.join(side("a"), "a").join(side("b"), "b")
     links = scratch.table(candidates.mapInPandas(_verify, "a string, b string"))
     grouped = components(links, "a", "b")
@@ -381,8 +392,7 @@ def same_place(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = Scratch(spark, "p4").table(same_place(read(spark, sf_dir, "case_addresses"), "address_id", "address"))
-    a, b = placed.withColumnRenamed("address_id", "address_id_a"), placed.withColumnRenamed("address_id", "address_id_b")
-    return a.join(b, "place").filter("address_id_a < address_id_b").select("address_id_a", "address_id_b")
+    return group_pairs(placed, "place", "address_id")
 
 
 QUERIES = {"p4_found": p4_found}

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from docketweave.llm.addresses import within
 from docketweave.llm.groups import components
-from docketweave.operators.skew import group_pairs, split_sides
+from docketweave.operators.skew import CHUNK, group_pairs, split_sides
 from docketweave.session import Scratch, read
 
 # Usual English short forms of given names, as any public list of nicknames has them; the default of a parameter.
@@ -409,12 +409,13 @@ def similar_stems(stems: DataFrame, asked: DataFrame | None = None) -> DataFrame
     within k slips share one of the first k * (QGRAM + 1) + 1, rarest first, of each: that prefix is all that is
     joined. Units with no q-gram left after their slips, and those alike but for what scans confuse, meet on keys of
     their own, as do stems of the same letters (words in another order, run together or torn), half a double name with
-    the whole, and an initial with a word. The frequency of a q-gram bounds its group; large groups are split.
+    the whole, and an initial with a word. The frequency of a q-gram bounds its group; if any is large, large groups are split.
+    Postings hold the hash of a stem in place of it; pairs get theirs back by a join.
     """
     every = stems.select(*STEM, F.lit(False).alias("asks"))
     if asked is not None:
         every = every.union(asked.select(*STEM, F.lit(True)))
-    every = every.select("*", F.split("stem", " ").alias("words"), F.replace("stem", F.lit(" "), F.lit("")).alias("whole"), F.xxhash64("entity_type", "block", "kind").alias("at"))
+    every = every.select("*", F.split("stem", " ").alias("words"), F.replace("stem", F.lit(" "), F.lit("")).alias("whole"), F.xxhash64("entity_type", "block", "kind").alias("at"), F.xxhash64("entity_type", "block", "kind", "stem").alias("sid"))
     several, org = F.size("words") > 1, F.col("kind") == "O"
     none = F.lit("")
     rest = lambda i: F.array_join(F.array_sort(F.filter("words", lambda w, j: j != i)), " ")
@@ -422,11 +423,12 @@ def similar_stems(stems: DataFrame, asked: DataFrame | None = None) -> DataFrame
     whole = F.array(unit(F.col("whole"), none, F.when(several, F.lit(1)).otherwise(F.col("dfs")[0])))
     words = F.transform("words", lambda w, i: unit(w, rest(i), F.col("dfs")[i]))
     units = F.when(org & several, F.concat(whole, words)).otherwise(whole)
-    held = every.select(*STEM, "asks", "at", several.alias("several"), F.explode(units).alias("u")).select(*STEM, "asks", "at", "several", "u.*")
+    held = every.select("stem", "kind", "block", "sid", "asks", "at", several.alias("several"), F.explode(units).alias("u")).select("stem", "kind", "block", "sid", "asks", "at", "several", "u.*")
     held = held.withColumn("ctx", F.xxhash64("at", "rest")).withColumn("two", two_slips(F.col("block"), F.length("unit")))
     different = held.select("unit").distinct()
     grams = different.select("unit", F.explode(qgrams(F.col("unit"))).alias("g")).select("unit", "g.gram", "g.place")
-    frequency = grams.groupBy("gram").agg(F.count("*").alias("gdf"))
+    frequency = Scratch(stems.sparkSession, "grams").table(grams.groupBy("gram").agg(F.count("*").alias("gdf")))
+    largest = frequency.agg(F.max("gdf")).first()[0] or 0
     prefix = grams.join(frequency, "gram").groupBy("unit").agg(F.slice(F.sort_array(F.collect_list(F.struct("gdf", "gram", "place"))), 1, 2 * (QGRAM + 1) + 1).alias("s"))
     # Keys beside the q-grams, each with the unit it stands for; a unit has few of them.
     own = lambda key: F.struct(F.lit(1).cast("bigint").alias("gdf"), key.alias("gram"), F.lit(0).alias("place"))
@@ -446,18 +448,28 @@ def similar_stems(stems: DataFrame, asked: DataFrame | None = None) -> DataFrame
     initial = F.when(org & (F.col("rest") != ""), F.array(own(F.concat(F.lit("!"), F.substring("unit", 1, 1))))).otherwise(empty)
     limit = F.when(F.col("two"), 2 * (QGRAM + 1) + 1).otherwise(QGRAM + 2)
     keys = F.array_distinct(F.concat(F.slice("s", F.lit(1), limit), short, eight, scan, same, half, initial))
-    posted = held.join(prefix, "unit").select(*STEM, "asks", "ctx", "unit", "two", "several", "df", F.explode(keys).alias("k")).select(*STEM, "asks", "ctx", "unit", "two", "several", "df", "k.*")
-    left, right = split_sides(posted, F.col("gdf"), F.col("stem"))
+    posted = held.join(prefix, "unit").select("sid", "asks", "ctx", "unit", "two", "several", "df", F.explode(keys).alias("k")).select("sid", "asks", "ctx", "unit", "two", "several", "df", "k.*")
+    pieces = []
+    if largest > CHUNK:
+        left, right = split_sides(posted, F.col("gdf"), F.col("sid"))
+        pieces = ["piece_a", "piece_b"]
+    else:
+        left = right = posted.drop("gdf")
     x, y = left.alias("x"), right.alias("y")
     lx, ly = F.length("x.unit"), F.length("y.unit")
     in_slips = (F.levenshtein("x.unit", "y.unit", 2) >= 0) | (F.col("x.two") & F.col("y.two") & (F.levenshtein("x.unit", "y.unit", 4) >= 0))
     sign = F.substring("x.gram", 1, 1)
     plain = (F.abs(lx - ly) <= 2) & (F.abs(F.col("x.place") - F.col("y.place")) <= 2) & ~established(F.col("x.df"), F.col("y.df")) & in_slips
     close = F.when(sign.isin("=", "@"), F.lit(True)).when(sign == "%", F.col("x.several") != F.col("y.several")).when(sign == "!", (lx == 1) != (ly == 1)).otherwise(plain)
-    order = F.col("x.stem") < F.col("y.stem") if asked is None else F.col("x.asks") & ~F.col("y.asks") & (F.col("x.stem") != F.col("y.stem"))
-    met = x.join(y, [*[F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("ctx", "gram", "piece_a", "piece_b", "entity_type", "block", "kind")], order, close])
-    pairs = met.select("x.entity_type", "x.block", "x.kind", F.col("x.stem").alias("x"), F.col("y.stem").alias("y"), F.col("x.dfs").alias("dfs_x"), F.col("y.dfs").alias("dfs_y"))
-    return pairs.groupBy("entity_type", "block", "kind", "x", "y").agg(F.first("dfs_x").alias("dfs_x"), F.first("dfs_y").alias("dfs_y"))
+    order = F.col("x.sid") < F.col("y.sid") if asked is None else F.col("x.asks") & ~F.col("y.asks") & (F.col("x.sid") != F.col("y.sid"))
+    met = x.join(y, [*[F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("ctx", "gram", *pieces)], order, close])
+    pairs = met.select(F.col("x.sid").alias("sid_x"), F.col("y.sid").alias("sid_y")).distinct()
+    names = every.select("sid", *STEM).distinct()
+    of = lambda side, *keep: names.select(F.col("sid").alias(f"sid_{side}"), *keep, F.col("stem").alias(side), F.col("dfs").alias(f"dfs_{side}"))
+    told = pairs.join(of("x", "entity_type", "block", "kind"), "sid_x").join(of("y"), "sid_y")
+    turn = (F.col("x") > F.col("y")) if asked is None else F.lit(False)
+    end = lambda c, d: F.when(turn, F.col(d)).otherwise(F.col(c)).alias(c)
+    return told.select("entity_type", "block", "kind", end("x", "y"), end("y", "x"), end("dfs_x", "dfs_y"), end("dfs_y", "dfs_x"))
 
 
 NEAR = "entity_type string, block string, kind string, x string, y string, soft double"

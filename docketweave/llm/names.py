@@ -290,7 +290,7 @@ def word_roles(vocabulary: DataFrame, nicknames: Mapping[str, str] = CANON) -> D
     length = F.length("word")
     cut = F.transform(F.sequence(F.lit(1), length), lambda i: F.concat(F.substring("word", F.lit(1), i - 1), F.substring("word", i + 1, length)))
     keys = F.explode(F.array_distinct(F.array_append(cut, F.col("word")))).alias("key")
-    right = given.filter(length >= 3).select(F.col("word").alias("name"), "full", F.col("gg").alias("right_g"), (F.col("formal").isNull() | (F.col("formal") == F.col("word"))).alias("whole"), F.lit(False).alias("firm"), keys)
+    right = given.filter(length >= 3).select(F.col("word").alias("name"), "full", F.col("uses").alias("right_g"), (F.col("formal").isNull() | (F.col("formal") == F.col("word"))).alias("whole"), F.lit(False).alias("firm"), keys)
     right = right.union(v.filter(F.col("is_org") & (length >= 6)).select(F.col("word").alias("name"), "word", F.col("n").alias("right_g"), F.lit(True), F.lit(True), keys))
     wrong = v.filter((length >= 3) & F.col("formal").isNull() & (F.col("s") <= F.col("g")) & (F.col("n") > 0)).select("word", "n", keys)
     a, b, la, lb = F.col("word"), F.col("name"), F.length("word"), F.length("name")

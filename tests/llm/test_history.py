@@ -70,6 +70,23 @@ def test_search_equals_brute_force(spark):
     assert index.probed["nearest"] + index.probed["others"] < 0.8 * len(set(rows)) * 40  # the bounds leave cells out
 
 
+def test_search_where_very_many_ask_one_cell(spark, monkeypatch):
+    """Cells whose stems and queries are both cut into pieces give each pair once."""
+    monkeypatch.setattr(history, "CHUNK", 5)
+    rng = np.random.default_rng(7)
+    stems = sorted({"".join(rng.choice(list("abdeilmnorstu"), int(rng.integers(8, 12)))) for _ in range(60)})
+    held = spark.createDataFrame([mention(f"h{i}", "judge", "c0", f"Greta {s.title()}") for i, s in enumerate(stems)], MENTION)
+    registry = spark.createDataFrame([(f"S{i}", [f"h{i}"]) for i in range(len(stems))], REGISTRY)
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}-asked"
+    index = history.HistoryIndex.create(spark, path, held, registry, cells=4)
+    queries = sorted({slips(rng, s, 1) for s in stems})
+    asked = spark.createDataFrame([("judge", "c0", "P", q, 2) for q in queries], "entity_type string, block string, kind string, stem string, bound int")
+    got = [(r.query, r.stem, r.distance) for only in (True, False) for r in index.search(asked, only).collect()]
+    d = np.abs(history.letter_vectors(queries)[:, None] - history.letter_vectors(stems)[None]).sum(2)
+    want = {(queries[i], stems[j], int(d[i, j])) for i, j in zip(*np.nonzero(d <= 2))}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_reach_covers_all_accepted_slips():
     """Letter distances never exclude a pair that verification accepts, at any length of the stem."""
     rng = np.random.default_rng(3)

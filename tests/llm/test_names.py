@@ -113,6 +113,13 @@ def test_stem_join_finds_two_slips(spark):
     assert [(r.x, r.y) for r in names.similar_stems(df.filter("stem <> 'suttaler'"), one).collect()] == [("suttaler", "stutalcr")]
 
 
+def test_stem_join_reads_written_tables(spark):
+    """The lineage of the stems, however long, is run once and not again by each side of the join."""
+    df = spark.createDataFrame([("judge", "c", "P", s) for s in ("vorlitor", "volritor")], "entity_type string, block string, kind string, stem string").withColumn("dfs", F.array(F.lit(1).cast("bigint")))
+    assert "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in names.similar_stems(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], FIELDS)
     assert names.name_entities(df).count() == 0

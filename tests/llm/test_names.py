@@ -120,6 +120,19 @@ def test_stem_join_reads_written_tables(spark):
     assert "LogicalRDD" not in names.similar_stems(df)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_stems_of_one_slip_meet_only_near_ones(spark, monkeypatch):
+    """Parties' stems that share q-grams but aren't near are in no common group: the join of 400 of them compares few pairs."""
+    stems = [f"{a}{b}anderson"[:11] for a in "bcdfghjklmnpqrstvwxz" for b in ("bo", "cu", "di", "fa", "ge", "hy", "ji", "ko", "lu", "ma", "ne", "po", "qu", "ra", "si", "ta", "vo", "wu", "xe", "za")]
+    written = []
+    table = names.Scratch.table
+    monkeypatch.setattr(names.Scratch, "table", lambda self, df, *a: (written.append(out := table(self, df, *a)), out)[1])
+    df = spark.createDataFrame([("party", "*", "P", s) for s in stems], "entity_type string, block string, kind string, stem string").withColumn("dfs", F.array(F.lit(1).cast("bigint")))
+    names.similar_stems(df)
+    posted = next(t for t in written if {"ctx", "gram"} <= set(t.columns))
+    groups = posted.groupBy("ctx", "gram").agg(F.count_distinct("sid").alias("n"))
+    assert groups.agg(F.max("n")).first()[0] <= 30  # those that are alike but for one of the first letters; all 400 share "ers"
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], FIELDS)
     assert names.name_entities(df).count() == 0

@@ -6,8 +6,8 @@ weight above the repeats that its source allows; the source shares are fitted la
 every source can reach its share. A cell's weight is the expected number of uses of each of its documents; documents are
 drawn by systematic sampling in buckets ordered by length, so drawn tokens stay close to the fitted ones.
 
-Topics come from nearest centroids of hashed word counts, fitted on at most TOPIC_SAMPLE documents. Only the cells' sums
-reach the driver. Defined results: null, empty and blank texts have no tokens and are never drawn; null and unlisted sources take
+Topics come from nearest centroids of hashed word counts, fitted on all documents: a pass over the texts writes their counts, each round
+of the fit reads these. Only the cells' sums, and those of each task's documents by nearest centroid, reach the driver. Defined results: null, empty and blank texts have no tokens and are never drawn; null and unlisted sources take
 no part; a listed source without tokens gets nothing and its share goes to the others in proportion, as reported.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from docketweave.llm.tokens import ByteBPE, vocabulary_path
 from docketweave.session import Scratch, read
 
-TOPICS, TOPIC_DIM, TOPIC_SAMPLE, BUCKET_ROWS, BATCH_CHARS = 8, 64, 4_000, 20_000, 4_000_000
+TOPICS, TOPIC_DIM, ROUNDS, BUCKET_ROWS, BATCH_CHARS = 8, 64, 10, 20_000, 4_000_000
 #: So many languages, those of most documents, have a cell of their own; all others share one. This bounds the table of cells, not the documents.
 LANGUAGES = 32
 
@@ -39,30 +39,44 @@ def word_counts(texts: list[str]) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def fit_topics(docs: DataFrame, key: str, text: str) -> np.ndarray:
-    """Centroids of at most TOPIC_SAMPLE documents, chosen by their keys; only TOPIC_DIM numbers of each reach the driver."""
-    chosen = docs.filter(F.trim(text) != "").select(F.col(key).alias("key")).distinct().orderBy(F.xxhash64("key"), "key").limit(TOPIC_SAMPLE)
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key", "left_semi").select("key", "text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"key": b["key"], "v": [x.tobytes() for x in word_counts(b["text"].tolist())]})
-
-    rows = texts.mapInPandas(run, f"key {docs.schema[key].dataType.simpleString()}, v binary").orderBy(F.xxhash64("key"), "key").collect()
-    v = np.stack([np.frombuffer(r["v"], np.float32) for r in rows]) if rows else word_counts([""])
-    rng = np.random.default_rng(5)
-    centroids = v[rng.choice(len(v), min(TOPICS, len(v)), replace=False)].copy()
-    for _ in range(10):
-        near = (v @ centroids.T - 0.5 * (centroids**2).sum(1)).argmax(1)
-        for c in range(len(centroids)):
-            if (members := v[near == c]).size:
-                centroids[c] = members.mean(0)
+def _nearest(b: pd.DataFrame, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(b"".join(b["v"]), np.float32).reshape(len(b), TOPIC_DIM)
+    return v, (v @ centroids.T - 0.5 * (centroids**2).sum(1)).argmax(1)
+
+
+def fit_topics(counted: DataFrame) -> np.ndarray:
+    """Centroids of all rows of counted (key, v: word_counts as bytes), by rounds of sums over all of them.
+
+    Each starts at a document, those first by the hash of their keys. Sums are in whole steps of 1e-6, so
+    that their order, which differs between runs, changes nothing.
+    """
+    first = counted.orderBy(F.xxhash64("key"), "key").limit(TOPICS).collect()
+    centroids = np.stack([np.frombuffer(r["v"], np.float32) for r in first]).astype(float) if first else np.zeros((1, TOPIC_DIM))
+    for _ in range(ROUNDS):
+        at = centroids
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((len(at), TOPIC_DIM + 1), np.int64)  # noqa: B023
+            for b in batches:
+                if len(b):
+                    v, near = _nearest(b, at)  # noqa: B023
+                    np.add.at(total, near, np.concatenate([np.rint(v.astype(float) * 1e6), np.ones((len(v), 1))], 1).astype(np.int64))
+            yield pd.DataFrame({"c": np.arange(len(total), dtype=np.int32), "sums": total.tolist()})
+
+        sums = np.zeros((len(at), TOPIC_DIM + 1), np.int64)
+        for r in counted.select("v").mapInPandas(run, "c int, sums array<bigint>").groupBy("c").agg(*[F.sum(F.col("sums")[i]).alias(str(i)) for i in range(TOPIC_DIM + 1)]).collect():
+            sums[r["c"]] = r[1:]
+        some = sums[:, -1] > 0
+        centroids = at.copy()
+        centroids[some] = sums[some, :-1] / 1e6 / sums[some, -1:]
+        if np.abs(centroids - at).max() < 1e-6:
+            break
     return centroids
 
 
 def sized(docs: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """docs with n_tokens and topic, without the text; one pass over the texts."""
-    path, centroids = path or vocabulary_path(), fit_topics(docs, key, text)
+    path = path or vocabulary_path()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = ByteBPE.load(path)
@@ -72,13 +86,21 @@ def sized(docs: DataFrame, key: str, text: str, path: str | None = None) -> Data
             for _, b in whole.groupby(piece, sort=False):
                 offsets, _ = bpe.encode(b["_text"].tolist())
                 v = word_counts(b["_text"].tolist())
-                topic = (v @ centroids.T - 0.5 * (centroids**2).sum(1)).argmax(1)
-                yield b.drop(columns="_text").assign(n_tokens=np.diff(offsets).astype(np.int64), topic=topic.astype(np.int32))
+                yield b.drop(columns="_text").assign(n_tokens=np.diff(offsets).astype(np.int64), v=[x.tobytes() for x in v])
 
     common = docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     kept = docs.select(F.col(key).alias("key"), "source", F.when(F.col("lang").isin([r["lang"] for r in common]), F.col("lang")).otherwise("other").alias("lang"), F.col(text).alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
-    return kept.filter(F.trim("_text") != "").mapInPandas(run, f"key {kind}, source string, lang string, n_tokens bigint, topic int")
+    scratch = Scratch(docs.sparkSession, "topics")
+    counted = scratch.table(kept.filter(F.trim("_text") != "").mapInPandas(run, f"key {kind}, source string, lang string, n_tokens bigint, v binary"))
+    centroids = fit_topics(counted)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield b.drop(columns="v").assign(topic=_nearest(b, centroids)[1].astype(np.int32))
+
+    return counted.mapInPandas(place, f"key {kind}, source string, lang string, n_tokens bigint, topic int")
 
 
 def rake(cells: pd.DataFrame, shares: dict[str, float], repeats: dict[str, int], rounds: int = 200) -> np.ndarray:

@@ -27,3 +27,16 @@ def test_mix(spark):
     assert shares["a"][1] <= 2 and shares["b"][1] <= 1
     assert not {900, 901, 902, 903} & {r.doc_id for r in drawn.collect()}
     assert mixture.mix(df.limit(0), targets)[0].count() == 0
+
+
+def test_topics_are_fitted_on_all_documents(spark):
+    """Each of 5,000 documents counts: the centroids weighted by their documents sum to the sum of all."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 6)) for _ in range(5000)]
+    v = mixture.word_counts(texts)
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(v)], "key bigint, v binary")
+    centroids = mixture.fit_topics(df)
+    near = (v @ centroids.T - 0.5 * (centroids**2).sum(1)).argmax(1)
+    want = np.stack([v[near == c].mean(0) for c in range(len(centroids))])
+    assert len(centroids) == mixture.TOPICS and np.abs(centroids - want).max() < 0.02
+    assert (centroids == mixture.fit_topics(df.repartition(7))).all()
